@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vdjspark.llm import mixing, sharding
+from vdjspark.llm import mixing, repeats, sharding
 from vdjspark.runtime import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup_bytes(table(spark, sf_dir, "documents"), length=400)
+
+
+def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup_words(table(spark, sf_dir, "documents"), window=50)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))
@@ -19,5 +27,5 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op7_mixing, op8_sharding)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op6_window_dedup, op7_mixing, op8_sharding)}
 ORACLE: dict[str, str] = {}
