@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vdjspark.llm import mixing, repeats, sharding
+from vdjspark.llm import media, mixing, repeats, secrets, sharding, toxicity
 from vdjspark.runtime import table
 
 
@@ -13,6 +13,20 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.dedup_bytes(table(spark, sf_dir, "documents"), length=400)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op5_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.encode(table(spark, sf_dir, "documents"))
+
+
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.dedup_words(table(spark, sf_dir, "documents"), window=50)
 
@@ -27,5 +41,5 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op6_window_dedup, op7_mixing, op8_sharding)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_secrets, op4_toxicity, op5_audio, op6_window_dedup, op7_mixing, op8_sharding)}
 ORACLE: dict[str, str] = {}
