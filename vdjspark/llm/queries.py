@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vdjspark.llm import media, mixing, repeats, secrets, sharding, toxicity, winnowing
+from vdjspark.llm import media, mixing, repeats, secrets, sharding, toxicity, training_order, winnowing
 from vdjspark.runtime import table
 
 
@@ -41,11 +41,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.materialise(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hashed = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), hashed, "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_secrets, op4_toxicity, op5_audio, op6_window_dedup, op7_mixing, op8_sharding, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_secrets, op4_toxicity, op5_audio, op6_window_dedup, op7_mixing, op8_sharding, op9_training_order, op10_decontamination)}
 ORACLE: dict[str, str] = {}
