@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage with files that survive the loss of an executor, fixes the rows of a
@@ -43,7 +43,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
