@@ -44,28 +44,24 @@ def _digits(hashed: Column, level: int) -> Column:
     return F.shiftrightunsigned(hashed, 64 - level * BITS)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 7) -> DataFrame:
-    """Documents -> doc_id, source, hashed (identifies the row's content), size, source_size, target, reps.
+def _hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
 
-    ``reps`` is how often the mix takes a document: the whole part of target / source_size for all of a
-    source, and one more below the threshold. Null text: size 0. Null source: a source of its own.
-    The hash covers doc_id and text, so equal rows are taken alike and reruns agree; the words taken
-    miss the target by half of the last bucket (2^-30 of a source's documents, or one document) at most.
-    A document never counts more than ``most`` times. An empty table gives an empty result.
+
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
+    return stage(docs.select("doc_id", "source", _hash(seed).alias("hashed"), size.alias("size")), "mix")
+
+
+def thresholds(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """(source, hashed, size) -> one row per source: of (its name), source_size, target, whole, bound.
+
+    All documents of the source count ``whole`` times, and those whose hash begins below ``bound`` once more.
     """
-    sized = stage(
-        docs.select(
-            "doc_id",
-            "source",
-            F.xxhash64(F.lit(seed), "doc_id", "text").alias("hashed"),
-            F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
-        ),
-        "mix",
-    )
     goals = stage(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "mix-goals")
     goals = goals.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     goals = goals.withColumn("whole", F.least("whole", F.lit(most)).cast("int"))
-    # left: the words still to fill; bound: documents whose hash begins below it are taken
+    # left: the words still to fill
     state = goals.withColumn("left", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0))).withColumn("bound", F.lit(0).cast("long"))
     for level in range(1, LEVELS + 1):
         known = small(state.select(F.col("source").alias("of"), "bound", "left"))
@@ -74,7 +70,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
         upto = F.sum("words").over(Window.partitionBy("of").orderBy("next"))  # 2^BITS rows for each source
         crossed = sums.withColumn("upto", upto).filter(F.col("upto") > F.col("left"))
         crossed = crossed.groupBy("of").agg(F.min(F.struct("next", (F.col("left") - (F.col("upto") - F.col("words"))).alias("rest"), "words")).alias("cut"))
-        joined = state.join(small(crossed), F.col("source").eqNullSafe(F.col("of")), "left")
+        joined = state.join(crossed, F.col("source").eqNullSafe(F.col("of")), "left")
         state = joined.select(
             *goals.columns,
             # nothing crossed: all of the bucket, or of the source, is taken
@@ -83,17 +79,34 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
             F.coalesce(F.col("cut.words"), F.lit(0)).alias("last"),
         )
         state = stage(state, "mix-level")
-    state = state.withColumn("bound", F.col("bound") + F.when((F.col("last") > 0) & (F.col("left") * 2 >= F.col("last")), 1).otherwise(0))
-    goal = small(state.select(F.col("source").alias("of"), "source_size", "target", "whole", "bound"))
+    bound = F.col("bound") + F.when((F.col("last") > 0) & (F.col("left") * 2 >= F.col("last")), 1).otherwise(0)
+    return state.select(F.col("source").alias("of"), "source_size", "target", "whole", bound.alias("bound"))
+
+
+def _reps(hashed: Column, most: int) -> Column:
+    return F.col("whole") + ((_digits(hashed, LEVELS) < F.col("bound")) & (F.col("whole") < most)).cast("int")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 7) -> DataFrame:
+    """Documents -> doc_id, source, size, source_size, target, reps.
+
+    ``reps`` is how often the mix takes a document: the whole part of target / source_size for all of a
+    source, and one more below the threshold. Null text: size 0. Null source: a source of its own.
+    The hash covers doc_id and text, so equal rows are taken alike and reruns agree; the words taken
+    miss the target by half of the last bucket (2^-30 of a source's documents, or one document) at most.
+    A document never counts more than ``most`` times. An empty table gives an empty result.
+    """
+    sized = _sized(docs, seed)
+    goal = small(thresholds(sized, weights, most))
     found = sized.join(goal, F.col("source").eqNullSafe(F.col("of")))
-    extra = (_digits(F.col("hashed"), LEVELS) < F.col("bound")) & (F.col("whole") < most)
-    return found.select("doc_id", "source", "hashed", "size", "source_size", "target", (F.col("whole") + extra.cast("int")).alias("reps"))
+    return found.select("doc_id", "source", "size", "source_size", "target", _reps(F.col("hashed"), most).alias("reps"))
 
 
 def repeated(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 7) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as the mix takes it, with its own columns."""
-    reps = mix(docs, weights, most, seed).select(F.col("doc_id").alias("of_doc"), F.col("hashed").alias("of_hash"), "reps").distinct()
-    tagged = docs.withColumn("of_hash_", F.xxhash64(F.lit(seed), "doc_id", "text"))
-    taken = tagged.join(reps.filter("reps > 0"), F.col("of_hash_").eqNullSafe(F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_doc")))
-    taken = taken.withColumn("rep_", F.explode(F.sequence(F.lit(1), F.col("reps"))))
-    return taken.select(*[docs[c] for c in docs.columns])
+    """The mix itself: each row of ``docs`` as often as mix() takes it, with its own columns; texts aren't shuffled."""
+    goal = small(thresholds(_sized(docs, seed), weights, most).select("of", "whole", "bound"))
+    taken = docs.alias("t").join(goal.alias("g"), F.col("t.source").eqNullSafe(F.col("g.of")))
+    times = F.col("g.whole") + ((_digits(F.xxhash64(F.lit(seed), "t.doc_id", "t.text"), LEVELS) < F.col("g.bound")) & (F.col("g.whole") < most)).cast("int")
+    # sequence(1, 0) would count down, so documents that aren't taken go first
+    taken = taken.select("t.*", times.alias("times_")).filter("times_ > 0").withColumn("time_", F.explode(F.sequence(F.lit(1), F.col("times_"))))
+    return taken.drop("times_", "time_")

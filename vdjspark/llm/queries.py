@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vdjspark.llm import media, mixing, repeats, secrets, sharding, toxicity, training_order, winnowing
+from vdjspark.llm import jaccard, media, mixing, repeats, secrets, sharding, toxicity, training_order, winnowing
 from vdjspark.runtime import table
 
 
@@ -17,6 +17,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard.group_documents(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -51,5 +56,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), hashed, "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_secrets, op4_toxicity, op5_audio, op6_window_dedup, op7_mixing, op8_sharding, op9_training_order, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_secrets, op3_jaccard_join, op4_toxicity, op5_audio, op6_window_dedup, op7_mixing, op8_sharding, op9_training_order, op10_decontamination)}
 ORACLE: dict[str, str] = {}
