@@ -1,6 +1,264 @@
-"""Queries over the driver's tables, one for each operator, and their SQL."""
+"""Queries over the driver's tables, one for each operator, and their SQL.
+
+The tables hold no sequencing data, so reads are made of whole documents: the letters of a text, cut into
+reads of READ bases, each letter one base and one quality. Both engines derive the same rows.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vdjspark.functions import airr, cigar
+from vdjspark.functions import sequences as S
+from vdjspark.operators import clones as K
+from vdjspark.operators import demultiplex as D
+from vdjspark.operators import error_rates as E
+from vdjspark.operators import merges as M
+from vdjspark.operators import similarity as J
+from vdjspark.runtime import table
+from vdjspark.sources.sequence_files import fastq_records, numbered
+
+READ = 45
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+AS_BASES = ("ACGT" * 7)[:26]
+AS_QUALITY = "".join(chr(33 + 10 + i) for i in range(26))  # Phred 10 to 35
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source, tile, ordinal, seq, qual_text, qual"""
+    letters = table(spark, sf_dir, "documents").select("doc_id", "source", F.regexp_replace(F.lower("text"), "[^a-z]", "").alias("l")).filter("length(l) > 0")
+    tiles = letters.select("doc_id", "source", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.length("l") - 1) / READ).cast("int")), lambda i: F.substring("l", i * READ + 1, READ))).alias("tile", "t"))
+    out = tiles.select("doc_id", "source", "tile", (F.col("doc_id") * 100_000 + F.col("tile")).alias("ordinal"), F.translate("t", LETTERS, AS_BASES).alias("seq"), F.translate("t", LETTERS, AS_QUALITY).alias("qual_text"))
+    return out.withColumn("qual", S.decode_quality(F.col("qual_text")))
+
+
+READS = f"""WITH letters AS (SELECT doc_id, source, regexp_replace(lower(text), '[^a-z]', '', 'g') AS l FROM documents),
+tiles AS (SELECT doc_id, source, CAST(i AS INT) AS tile, substr(l, CAST(i * {READ} + 1 AS BIGINT), {READ}) AS t FROM letters, unnest(range(0, (length(l) + {READ - 1}) // {READ})) AS u(i)),
+reads AS (SELECT doc_id, source, tile, doc_id * 100000 + tile AS ordinal, translate(t, '{LETTERS}', '{AS_BASES}') AS seq, translate(t, '{LETTERS}', '{AS_QUALITY}') AS qual_text FROM tiles),
+bases AS (SELECT doc_id, source, tile, ordinal, seq, CAST(p AS INT) AS pos, substr(seq, p, 1) AS base, ascii(substr(qual_text, p, 1)) - 33 AS q FROM reads, unnest(range(1, length(seq) + 1)) AS v(p)),
+clones AS (SELECT seq, count(*) AS n FROM reads GROUP BY seq),
+quals AS (SELECT seq, string_agg(chr(CAST(q + 33 AS INT)), '' ORDER BY pos) AS qual_text, min(q) AS least FROM (SELECT seq, pos, max(q) AS q FROM bases GROUP BY seq, pos) GROUP BY seq)
+"""
+
+
+@query(READS + "SELECT doc_id, tile, reverse(translate(seq, 'ATCG', 'TAGC')) AS rc, reverse(qual_text) AS rc_qual FROM reads")
+def reverse_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads(spark, sf_dir).select("doc_id", "tile", S.reverse_complement(F.col("seq")).alias("rc"), S.encode_quality(F.reverse("qual")).alias("rc_qual"))
+
+
+_CODON = "(instr('TCAG', substr(seq, CAST(i * 3 + 1 AS INT), 1)) - 1) * 16 + (instr('TCAG', substr(seq, CAST(i * 3 + 2 AS INT), 1)) - 1) * 4 + instr('TCAG', substr(seq, CAST(i * 3 + 3 AS INT), 1))"
+_AA = f"array_to_string(list_transform(range(0, length(seq) // 3), lambda i: substr('{S.AMINO}', CAST({_CODON} AS INT), 1)), '')"
+
+
+@query(READS + f"SELECT doc_id, tile, {_AA} AS aa, contains({_AA}, '*') AS has_stop, length(seq) % 3 = 0 AS in_frame FROM reads")
+def translated_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aa = S.translate_codons(F.col("seq"))
+    return reads(spark, sf_dir).select("doc_id", "tile", aa.alias("aa"), F.contains(aa, F.lit("*")).alias("has_stop"), (F.length("seq") % 3 == 0).alias("in_frame"))
+
+
+@query(READS + "SELECT doc_id, tile, seq, qual_text FROM reads")
+def fastq_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads written as the four lines of FASTQ records and scanned again."""
+    rows = reads(spark, sf_dir)
+    four = F.array(F.concat(F.lit("@"), F.col("ordinal").cast("string"), F.lit(" x")), "seq", F.lit("+"), S.encode_quality(F.col("qual")))
+    text = rows.select("ordinal", F.posexplode(four).alias("k", "value")).select((F.col("ordinal") * 4 + F.col("k")).alias("line"), "value")
+    return fastq_records(text).select(F.expr("ordinal div 100000").alias("doc_id"), F.expr("cast(ordinal % 100000 as int)").alias("tile"), "seq", S.encode_quality(F.col("qual")).alias("qual_text"))
+
+
+@query(READS + "SELECT c.seq AS seq, c.n AS count, q.qual_text AS qual_text, row_number() OVER (ORDER BY c.n DESC, c.seq) AS sequence_id FROM clones c JOIN quals q USING (seq)")
+def clones_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads grouped by sequence, with largest qualities, numbered by abundance."""
+    return K.ranked(K.build(reads(spark, sf_dir))).select("seq", "count", S.encode_quality(F.col("qual")).alias("qual_text"), "sequence_id")
+
+
+def _pairs_sql(d: int) -> str:
+    blocks = []
+    step = f"(length(seq) // {d + 1})"
+    for k in range(d + 1):
+        size = step if k < d else "length(seq)"
+        blocks.append(f"SELECT seq AS s, length(seq) AS len, {k} AS no, substr(seq, CAST({step} * {k} + 1 AS INT), CAST({size} AS INT)) AS block FROM clones")
+    return f"""blocks AS ({' UNION ALL '.join(blocks)}),
+pairs AS (SELECT DISTINCT x.s AS a, y.s AS b, CAST(hamming(x.s, y.s) AS INT) AS distance FROM blocks x JOIN blocks y USING (len, no, block) WHERE x.s < y.s AND hamming(x.s, y.s) <= {d}),
+both_ways AS (SELECT a AS s, b AS other, distance FROM pairs UNION ALL SELECT b, a, distance FROM pairs)
+"""
+
+
+@query(READS + ", " + _pairs_sql(2) + "SELECT a, b, distance FROM pairs")
+def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.hamming_pairs(reads(spark, sf_dir), 2)
+
+
+@query(READS + ", " + _pairs_sql(3) + "SELECT s, other, distance FROM (SELECT *, rank() OVER (PARTITION BY s ORDER BY distance) AS r FROM both_ways) WHERE r = 1")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.nearest_neighbours(reads(spark, sf_dir), 3)
+
+
+@query("WITH n AS (SELECT DISTINCT p_name AS s FROM part) SELECT x.s AS long, y.s AS short, CAST(levenshtein(x.s, y.s) AS INT) AS distance FROM n x JOIN n y ON length(x.s) = length(y.s) + 1 WHERE levenshtein(x.s, y.s) <= 2")
+def levenshtein_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.levenshtein_pairs(table(spark, sf_dir, "part"), 1, 2, "p_name")
+
+
+@query(READS + "SELECT CAST(length(seq) AS INT) AS seqlen, CAST(q AS INT) AS q, count(*) AS cnt FROM bases WHERE pos BETWEEN 6 AND 40 GROUP BY 1, 2")
+def quality_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.quality_histogram(reads(spark, sf_dir), F.lit(5), F.lit(40))
+
+
+@query(READS + "SELECT CAST(quantile_disc(q, 0.5) AS INT) AS median FROM bases WHERE pos BETWEEN 6 AND 40")
+def lower_median_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.lower_median(E.quality_histogram(reads(spark, sf_dir), F.lit(5), F.lit(40)))
+
+
+@query(READS + ", b AS (SELECT q, count(*) AS n, sum(CASE WHEN base = 'T' THEN 1 ELSE 0 END) AS mm FROM bases GROUP BY q), o AS (SELECT *, -10 * log10(mm / n) AS seen FROM b WHERE mm > 0) SELECT round(coalesce(sum(q / seen * n) / sum(n), 1.0), 9) AS alpha FROM o WHERE seen > 0")
+def quality_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slope between stated and observed quality, with T in the part of a wrong base."""
+    bases = reads(spark, sf_dir).select(F.explode(F.arrays_zip(F.filter(F.split("seq", ""), lambda c: c != "").alias("base"), F.col("qual").alias("q"))).alias("x"))
+    by_quality = bases.groupBy(F.col("x.q").alias("q")).agg(F.count("*").alias("n"), F.count_if(F.col("x.base") == "T").alias("mm"))
+    return E.quality_slope(by_quality).select(F.round("alpha", 9).alias("alpha"))
+
+
+@query("""WITH s AS (SELECT l_returnflag AS region, sum(l_quantity) AS n, sum(l_linenumber) AS mm, sum(l_suppkey % 3) AS ins, sum(l_partkey % 2) AS dels FROM lineitem GROUP BY 1)
+SELECT round(max(mm / n), 12) AS mmr, round(max(ins / n), 12) AS insr, round(max(dels / n), 12) AS delsr FROM s""")
+def largest_region_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("region"), F.col("l_linestatus").alias("seqlen"), F.col("l_quantity").alias("n"), F.col("l_linenumber").alias("mm"), (F.col("l_suppkey") % 3).alias("ins"), (F.col("l_partkey") % 2).alias("dels"))
+    return E.largest_rates(E.rates(E.by_region(rows))).select(*[F.round(c, 12).alias(c) for c in ("mmr", "insr", "delsr")])
+
+
+@query(READS + """, f AS (SELECT source, pos, base, count(*) AS freq, max(q) AS q FROM bases GROUP BY ALL),
+r AS (SELECT *, rank() OVER w AS r, sum(freq) OVER (PARTITION BY source, pos) AS total FROM f WINDOW w AS (PARTITION BY source, pos ORDER BY freq DESC, q DESC)),
+c AS (SELECT source, pos, CASE WHEN count(*) = 1 THEN max(base) ELSE 'N' END AS base, CASE WHEN count(*) = 1 THEN max(q) ELSE 0 END AS q, max(total - freq) AS mutations, max(total) AS n FROM r WHERE r = 1 GROUP BY source, pos)
+SELECT source, string_agg(base, '' ORDER BY pos) AS seq, string_agg(chr(CAST(q + 33 AS INT)), '' ORDER BY pos) AS qual_text, CAST(sum(n) AS BIGINT) AS base_count, CAST(sum(mutations) AS BIGINT) AS mutation_count FROM c GROUP BY source""")
+def consensus_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.consensus(reads(spark, sf_dir), ["source"]).select("source", "seq", S.encode_quality(F.col("qual")).alias("qual_text"), "base_count", "mutation_count")
+
+
+@query("""WITH r AS (SELECT user_id, event_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+p AS (SELECT a.user_id, CASE WHEN b.value > a.value THEN b.event_id ELSE a.event_id END AS event_id, CASE WHEN b.value > a.value THEN b.event_type ELSE a.event_type END AS event_type FROM r a LEFT JOIN r b ON a.user_id = b.user_id AND b.k = 2 WHERE a.k = 1) SELECT * FROM p""")
+def first_two_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    return K.best_of_first_two(rows, ["user_id"], F.col("value"), "event_id").select("user_id", "event_id", "event_type")
+
+
+@query(READS + """, k AS (SELECT doc_id, seq, count(*) AS n, min(ordinal) AS ordinal, sum(list_sum(list_transform(range(1, length(seq) + 1), lambda i: ascii(substr(qual_text, CAST(i AS INT), 1)) - 33))) AS s FROM reads GROUP BY 1, 2)
+SELECT doc_id, seq, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, s DESC, ordinal) AS INT) AS rank, count(*) OVER (PARTITION BY doc_id) AS of FROM k""")
+def subgroup_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's distinct reads ranked by count, then summed quality, then order."""
+    total = F.aggregate("qual", F.lit(0), lambda s, q: s + q)
+    rows = reads(spark, sf_dir).groupBy("doc_id", "seq").agg(F.count("*").alias("count"), F.min("ordinal").alias("ordinal"), F.sum(total).cast("int").alias("s")).withColumn("qual", F.array("s"))
+    return K.subgroup_ranks(rows, ["doc_id"]).select("doc_id", "seq", "rank", "of")
+
+
+@query("SELECT n_name, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+def dimension_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey").select("c_custkey", "o_totalprice")
+    found = J.looked_up(J.looked_up(orders, table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey")), ["c_custkey"]), table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), ["n_nationkey"])
+    return found.groupBy("n_name").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query(READS + "SELECT a.doc_id, CAST(a.tile // 2 AS INT) AS pair, a.seq AS seq1, b.seq AS seq2 FROM reads a JOIN reads b ON a.doc_id = b.doc_id AND a.tile + 1 = b.tile WHERE a.tile % 2 = 0")
+def mate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even and odd reads of a document joined by position."""
+    rows = reads(spark, sf_dir).select("doc_id", (F.col("tile") / 2).cast("int").alias("pair"), (F.col("tile") % 2).alias("mate"), "seq")
+    both = rows.groupBy("doc_id", "pair").agg(*[F.max(F.when(F.col("mate") == k, F.col("seq"))).alias(f"seq{k + 1}") for k in (0, 1)])
+    return both.filter("seq2 is not null")
+
+
+@query("SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS has_orders FROM customer")
+def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers, orders = table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return J.members(customers, orders, ["c_custkey"]).withColumn("has_orders", F.lit(True)).unionByName(J.members(customers, orders, ["c_custkey"], absent=True).withColumn("has_orders", F.lit(False)))
+
+
+@query(READS + f"SELECT seq, NOT (q.least < 12 OR contains({_AA}, '*') OR length(seq) % 3 <> 0) AS kept FROM clones JOIN quals q USING (seq)")
+def routed_clones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = K.build(reads(spark, sf_dir))
+    rows = rows.withColumn("stop_codon", F.when(F.contains(S.translate_codons(F.col("seq")), F.lit("*")), "T").otherwise("F")).withColumn("vj_in_frame", F.when(F.length("seq") % 3 == 0, "T").otherwise("F"))
+    kept, discarded = K.routed(rows, 12)
+    return kept.select("seq", F.lit(True).alias("kept")).unionByName(discarded.select("seq", F.lit(False).alias("kept")))
+
+
+@query("""WITH c AS (SELECT l_orderkey, l_linenumber AS s, CAST(l_quantity AS INT) AS m, CAST(l_suppkey % 4 + 1 AS INT) AS d, CAST(l_partkey % 5 + 1 AS INT) AS i, CAST(l_suppkey % 50 AS INT) AS ras FROM lineitem)
+SELECT l_orderkey, s AS line, s AS qas, s + m + i + 7 AS qae, ras + m + d + 7 AS rae, s + CAST(m / 2 AS INT) AS at_match, CAST(NULL AS INT) AS at_gap, s + m + i AS after_gap FROM (SELECT *, m AS mm FROM c) WHERE m % 2 = 0""")
+def cigar_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CIGAR strings made of order lines, measured and used to map reference positions."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("line"), F.col("l_quantity").cast("int").alias("m"), (F.col("l_suppkey") % 4 + 1).cast("int").alias("d"), (F.col("l_partkey") % 5 + 1).cast("int").alias("i"), (F.col("l_suppkey") % 50).cast("int").alias("ras"))
+    rows = rows.filter("m % 2 = 0").withColumn("cigar", F.concat("line", F.lit("S"), "m", F.lit("M"), "d", F.lit("D"), "i", F.lit("I7M3S")))
+    c, ras = F.col("cigar"), F.col("ras")
+    span = cigar.intervals(c, ras)
+    at = [cigar.query_position(c, ras, t) for t in (ras + (F.col("m") / 2).cast("int"), ras + F.col("m"), ras + F.col("m") + F.col("d"))]
+    return rows.select("l_orderkey", "line", span["qas"].alias("qas"), span["qae"].alias("qae"), span["rae"].alias("rae"), at[0].alias("at_match"), at[1].alias("at_gap"), at[2].alias("after_gap"))
+
+
+# Adapters of the demultiplexing query.
+ADAPTERS = [D.Adapter("S1", "yrACGTrNNNN"), D.Adapter("S2", "wCATGsNNNN"), D.Adapter("S3", "GGTTANNNNN")]
+
+
+@query()
+def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.demultiplex(reads(spark, sf_dir).withColumn("id", F.col("ordinal").cast("string")), ADAPTERS)
+
+
+@query()
+def umi_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consensus of reads that share source and their first five bases."""
+    rows = reads(spark, sf_dir).select(F.col("source").alias("qualifier"), F.substring("seq", 1, 5).alias("umi"), "ordinal", "seq", "qual")
+    return D.umi_names(K.subgroup_ranks(D.umi_consensus(rows, rounds=3), ["qualifier", "umi"])).select("id", "seq", "qual_text", "count")
+
+
+def _clones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.start(K.build(reads(spark, sf_dir)))
+
+
+def _shown(clones: DataFrame) -> DataFrame:
+    return clones.select("seq", S.encode_quality(F.col("qual")).alias("qual_text"), "count", "orig_count", "mutations")
+
+
+@query()
+def merged_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(M.merge_by_quality(_clones(spark, sf_dir), 0.01, most=3))
+
+
+@query()
+def merged_by_abundance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(M.merge_by_abundance(_clones(spark, sf_dir), 0.01, max_distance=2, most=3))
+
+
+@query()
+def merged_indels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(M.merge_indels(_clones(spark, sf_dir), 0.001, 0.001, most=2))
+
+
+@query()
+def merged_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bases of quality 11 count as unknown."""
+    rows = reads(spark, sf_dir).withColumn("seq", F.array_join(F.transform("qual", lambda q, i: F.when(q == 11, "N").otherwise(F.substring("seq", i + 1, F.lit(1)))), ""))
+    return _shown(M.merge_unknown(M.start(K.build(rows.withColumn("qual", S.zero_unknown(F.col("seq"), F.col("qual")))))))
+
+
+@query()
+def rearrangement_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clones with alleles made of the benchmark's texts."""
+    items = numbered(table(spark, sf_dir, "benchmark").orderBy("item_id"), "k")
+    seq = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), LETTERS, AS_BASES)
+    alleles = items.select(F.concat(F.when(F.col("k") % 2 == 0, "TRBV").otherwise("TRBJ"), (F.col("k") / 2).cast("int").cast("string"), F.lit("*01")).alias("name"), F.lit(30).alias("refpos"), seq.alias("seq"))
+    n = items.count() // 2
+    pick = F.pmod(F.xxhash64("seq"), F.lit(max(1, n))).cast("string")
+    clones = K.ranked(K.build(reads(spark, sf_dir)))
+    clones = clones.withColumn("v_call", F.concat(F.lit("TRBV"), pick, F.lit("*01"))).withColumn("j_call", F.concat(F.lit("TRBJ"), pick, F.lit("*01"))).withColumn("v_end", F.lit(10)).withColumn("j_start", F.lit(30))
+    return airr.rearrangements(clones, alleles)
