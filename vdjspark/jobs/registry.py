@@ -41,11 +41,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reads(spark: SparkSession, sf_dir: str, bases: str = AS_BASES) -> DataFrame:
     """doc_id, source, tile, ordinal, seq, qual_text, qual"""
     letters = table(spark, sf_dir, "documents").select("doc_id", "source", F.regexp_replace(F.lower("text"), "[^a-z]", "").alias("l")).filter("length(l) > 0")
     tiles = letters.select("doc_id", "source", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.length("l") - 1) / READ).cast("int")), lambda i: F.substring("l", i * READ + 1, READ))).alias("tile", "t"))
-    out = tiles.select("doc_id", "source", "tile", (F.col("doc_id") * 100_000 + F.col("tile")).alias("ordinal"), F.translate("t", LETTERS, AS_BASES).alias("seq"), F.translate("t", LETTERS, AS_QUALITY).alias("qual_text"))
+    out = tiles.select("doc_id", "source", "tile", (F.col("doc_id") * 100_000 + F.col("tile")).alias("ordinal"), F.translate("t", LETTERS, bases).alias("seq"), F.translate("t", LETTERS, AS_QUALITY).alias("qual_text"))
     return out.withColumn("qual", S.decode_quality(F.col("qual_text")))
 
 
@@ -246,8 +246,8 @@ def merged_indels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def merged_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bases of quality 11 count as unknown."""
-    rows = reads(spark, sf_dir).withColumn("seq", F.array_join(F.transform("qual", lambda q, i: F.when(q == 11, "N").otherwise(F.substring("seq", i + 1, F.lit(1)))), ""))
+    """The letter b is an unknown base."""
+    rows = reads(spark, sf_dir, AS_BASES[0] + "N" + AS_BASES[2:])
     return _shown(M.merge_unknown(M.start(K.build(rows.withColumn("qual", S.zero_unknown(F.col("seq"), F.col("qual")))))))
 
 
