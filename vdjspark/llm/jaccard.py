@@ -287,8 +287,7 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> D
     """
     groups = group_documents(docs, n, num, den)
     stays = stage(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "h").agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n")), "stays")
-    kept = docs.alias("t").withColumn("h_", F.xxhash64("text"))
-    same = kept["doc_id"].eqNullSafe(F.col("m.doc_id")) & (kept["h_"] == F.col("m.h"))
-    once = kept.join(small(stays.filter("rows = 1 or n = 0")).alias("m"), same, "left_semi")
-    again = kept.join(small(stays.filter("rows > 1 and n > 0")).alias("m"), same, "left_semi").dropDuplicates(["doc_id", "h_"])
-    return once.unionByName(again).select(*docs.columns)
+    same = F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.xxhash64("t.text") == F.col("m.h"))
+    once = docs.alias("t").join(small(stays.filter("rows = 1 or n = 0")).alias("m"), same, "left_semi")
+    again = docs.alias("t").join(small(stays.filter("rows > 1 and n > 0")).alias("m"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again)

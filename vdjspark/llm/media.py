@@ -59,7 +59,7 @@ def _filters() -> np.ndarray:
     k = np.arange(UP * TAPS) - (UP * TAPS - 1) / 2
     h = np.sinc(k / DOWN) * np.hamming(UP * TAPS)
     h *= UP / h.sum()
-    return np.stack([h[p::UP][::-1] for p in range(UP)]).astype(np.float32)
+    return np.stack([h[p::UP][::-1] for p in range(UP)])
 
 
 def _mel_bank() -> np.ndarray:
@@ -70,18 +70,18 @@ def _mel_bank() -> np.ndarray:
     f = np.fft.rfftfreq(FFT, 1 / TARGET)
     rise = (f[:, None] - edges[:-2]) / (edges[1:-1] - edges[:-2])
     fall = (edges[2:] - f[:, None]) / (edges[2:] - edges[1:-1])
-    return np.maximum(0, np.minimum(rise, fall)).astype(np.float32)
+    return np.maximum(0, np.minimum(rise, fall))
 
 
-FILTERS, MEL, HANN = _filters(), _mel_bank(), np.hanning(FRAME).astype(np.float32)
+FILTERS, MEL, HANN = _filters(), _mel_bank(), np.hanning(FRAME)
 
 
 def resampled(x: np.ndarray) -> np.ndarray:
     """x at RATE -> at TARGET: each output is one phase's taps over the input around it."""
     n = len(x) * UP // DOWN
-    padded = np.concatenate([np.zeros(TAPS // 2, np.float32), x, np.zeros(TAPS, np.float32)])
+    padded = np.concatenate([np.zeros(TAPS // 2), x, np.zeros(TAPS)])
     windows = np.lib.stride_tricks.sliding_window_view(padded, TAPS)
-    out = np.empty(-(-n // UP) * UP, np.float32)
+    out = np.empty(-(-n // UP) * UP)
     for p in range(UP):
         phase, offset = p * DOWN % UP, p * DOWN // UP
         out[p::UP] = windows[offset::DOWN][: len(out) // UP] @ FILTERS[phase]
@@ -89,15 +89,15 @@ def resampled(x: np.ndarray) -> np.ndarray:
 
 
 def log_mel(samples: bytes) -> np.ndarray:
-    """Frames x bands; shorter input is one frame, padded with silence."""
-    y = resampled((np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128)
+    """Frames x bands; shorter input is one frame, padded with silence. Sums are in double precision, so that equal input gives equal floats."""
+    y = resampled((np.frombuffer(samples, np.uint8).astype(np.float64) - 128) / 128)
     if len(y) < FRAME:
         y = np.pad(y, (0, FRAME - len(y)))
     frames = np.lib.stride_tricks.sliding_window_view(y, FRAME)[::HOP]
     out = np.empty((len(frames), BANDS), np.float32)
     for at in range(0, len(frames), 1024):
         spectrum = np.fft.rfft(frames[at : at + 1024] * HANN, FFT, axis=1)
-        out[at : at + 1024] = np.log((spectrum.real**2 + spectrum.imag**2).astype(np.float32) @ MEL + 1e-6)
+        out[at : at + 1024] = np.log((spectrum.real**2 + spectrum.imag**2) @ MEL + 1e-6)
     return out
 
 

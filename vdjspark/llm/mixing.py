@@ -108,5 +108,5 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     taken = docs.alias("t").join(goal.alias("g"), F.col("t.source").eqNullSafe(F.col("g.of")))
     times = F.col("g.whole") + ((_digits(F.xxhash64(F.lit(seed), "t.doc_id", "t.text"), LEVELS) < F.col("g.bound")) & (F.col("g.whole") < most)).cast("int")
     # sequence(1, 0) would count down, so documents that aren't taken go first
-    taken = taken.select("t.*", times.alias("times_")).filter("times_ > 0").withColumn("time_", F.explode(F.sequence(F.lit(1), F.col("times_"))))
-    return taken.drop("times_", "time_")
+    taken = taken.select(F.struct("t.*").alias("row"), times.alias("times")).filter("times > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

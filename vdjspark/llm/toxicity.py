@@ -74,7 +74,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, max_terms:
     marked = labels.select(F.col("doc_id").alias("labelled"), F.col("toxic").cast("int").alias("toxic")).dropna().filter(~held_out(F.col("labelled"))).dropDuplicates(["labelled"])
     share = min(1.0, fit_rows / max(1, marked.count()))
     marked = marked.filter(F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = docs.join(small(marked), F.col("doc_id") == F.col("labelled")).filter(F.col("text").isNotNull()).select("text", "toxic")
+    rows = docs.select("doc_id", "text").join(small(marked), F.col("doc_id") == F.col("labelled")).filter(F.col("text").isNotNull()).select("text", "toxic")
     rows = stage(rows, "labelled")
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
