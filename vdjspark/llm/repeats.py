@@ -153,7 +153,7 @@ def dedup_words(docs: DataFrame, window: int = 50, gram: int = 8, keep_text: boo
     return _finish(keyed, spans, _word_result(keep_text), schema)
 
 
-def dedup_bytes(docs: DataFrame, length: int = 400, gram: int = 32, hot: int = 1500, keep_text: bool = False) -> DataFrame:
+def dedup_bytes(docs: DataFrame, length: int = 400, gram: int = 128, hot: int = 1500, keep_text: bool = False) -> DataFrame:
     """Documents -> doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``keep_text``, kept (binary).
 
     Removes each byte that a string of ``length`` bytes covers which also starts anywhere else, in the
