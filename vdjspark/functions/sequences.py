@@ -62,7 +62,7 @@ def phred_to_probability(q: Column) -> Column:
 def allele_parts(name: Column) -> Column:
     """Gene, region, segment and allele of a name such as TRBV10-2*01."""
     halves = F.split(name, "\\*", 2)
-    segment = F.substring(F.get(halves, 0), F.lit(4), F.length(name))
+    segment = F.substring(F.get(halves, 0), F.lit(5), F.length(name))
     return F.struct(F.substring(name, 1, 3).alias("gene"), F.substring(name, 4, 1).alias("region"), segment.alias("segment"), F.get(halves, 1).alias("allele"))
 
 

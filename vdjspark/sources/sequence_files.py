@@ -13,25 +13,26 @@ SAM_COLUMNS = ("QNAME", "FLAG", "RNAME", "POS", "MAPQ", "CIGAR", "RNEXT", "PNEXT
 SAM_INTEGERS = {"FLAG", "POS", "MAPQ", "PNEXT", "TLEN"}
 
 
-def numbered(df: DataFrame, column: str = "ordinal") -> DataFrame:
+def numbered(df: DataFrame, column: str = "ordinal", cells: tuple[str, ...] = ()) -> DataFrame:
     """Rows numbered from 0 in the order of the table, without gaps and without a single task that sees all.
 
-    The table is staged so that its order stays; each partition's first number comes from the counts.
+    Each row's partition and place are written with it, since a table is not read back in the order of
+    its files; every cell's first number then comes from the counts of the cells before it. Cells are
+    partitions, or in the order of the columns ``cells`` whose rows stay together, such as blocks of files.
     """
-    rows = stage(df, "numbered").withColumn("row_", F.monotonically_increasing_id())
-    part = F.shiftright("row_", 33)
-    counts = stage(rows.groupBy(part.alias("part_")).count(), "parts").collect()  # one number for each partition
-    firsts, total = [], 0
-    for r in sorted(counts, key=lambda r: r["part_"]):
-        firsts.append((r["part_"], total))
-        total += r["count"]
-    firsts = df.sparkSession.createDataFrame(firsts or [(0, 0)], "part_ long, first_ long")
-    out = rows.withColumn("part_", part).join(small(firsts), "part_")
-    return out.withColumn(column, F.col("first_") + F.col("row_") - F.shiftleft("part_", 33)).drop("row_", "part_", "first_")
+    row = F.monotonically_increasing_id()
+    rows = stage(df.withColumn("row_", row), "numbered")
+    rows = rows.withColumn("cell_", F.struct(*cells) if cells else F.struct(F.shiftright("row_", 33).alias("part")))
+    counts = stage(rows.groupBy("cell_").agg(F.count("*").alias("n_"), F.min("row_").alias("from_")), "cells")
+    firsts = counts.select(F.col("cell_").alias("of_"), "from_", (F.sum("n_").over(Window.orderBy("cell_")) - F.col("n_")).alias("first_"))  # a row for each cell
+    out = rows.join(small(firsts), F.col("cell_") == F.col("of_"))
+    return out.withColumn(column, F.col("first_") + F.col("row_") - F.col("from_")).drop("row_", "cell_", "of_", "from_", "first_", *cells)
 
 
 def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return numbered(spark.read.text(path), "line")
+    """Lines numbered by file name and place in the file."""
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path_"), F.col("_metadata.file_block_start").alias("block_"))
+    return numbered(text, "line", ("path_", "block_"))
 
 
 def fastq_records(text: DataFrame, encoding: str | None = "Illumina1.8") -> DataFrame:

@@ -11,8 +11,8 @@ from vdjspark.sources.sequence_files import read_fasta
 # The header of the reference table, and the names its columns get.
 ALLELE_HEADER = ("Species", "Allele name", "Functionality", "Reference position", "Accession number", "Sequence")
 ALLELE_NAMES = ("species", "name", "functionality", "refpos", "acc_nr", "seq")
-# How J genes show their anchor, Phe or Trp followed by Gly-X-Gly; strict and liberal codons.
-J_ANCHOR = ("(TT[TC]|TGG)GG[ACGT][ACGT]{3}GG[ACGT]", "(TT[TC]|TGG)(GG[ACGT])?[ACGT]{3}GG[ACGT]")
+# How J genes show their anchor: Phe or Trp, then Gly-X-Gly; or, liberally, any codon before a Gly.
+J_ANCHOR = ("((TT[TC])|(TGG))GG[TCAG]{4}GG[TCAG]{1}", "[TCAG]{3}GG[TCAG]{4}[TCAG]{1}")
 V_ANCHOR_COLUMNS = 312
 
 
