@@ -5,42 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vdjspark.runtime import drop_staged, stage
+from vdjspark.runtime import drop_staged, small, stage
 
 
-def _shape(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).head()
-    return tuple(row)
+def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """edges (a, b) with ``low``, the least b of each a; and the staged minima, to be deleted when that has been used.
+
+    Minima are aggregated before the shuffle. They are broadcast if few; else they are joined, and a
+    node with very many neighbours is split as a skewed join.
+    """
+    least = stage(edges.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "u"), "least")
+    return edges.join(small(least), F.col("a") == F.col("u")).drop("u"), least
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether no node hangs on two others, or both hangs and has others hang on it."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")), F.struct(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))).alias("e"))
+    seen = ends.select("e.*").groupBy("node").agg(F.sum("hangs").alias("hangs"), F.sum("holds").alias("holds"))
+    return not seen.filter("hangs > 1 or (hangs > 0 and holds > 0)").limit(1).count()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """edges (a, b: long) -> node, root: for every node of an edge, the least node it is connected with.
 
     Each round hangs every node's larger neighbours, then its smaller ones, on the least; the edges
-    become stars around the least nodes in O(log^2) rounds. Minima are aggregated before the shuffle and
-    joined back, so a node with very many neighbours is split as a skewed join. Each round is a written
-    table. Edges from a node to itself are kept as single components.
+    become stars around the least nodes in O(log^2) rounds. Each round is a written table. Nodes with
+    edges to themselves only are their own root.
     """
-    now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
+    edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    now, first = edges.filter("a != b"), True
     for _ in range(rounds):
+        if _stars(now):
+            break
         # each node's larger neighbours go to the least of it and its neighbours
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("u"), F.least("a", "low").alias("low"))
-        large = both.join(least, both["a"] == least["u"]).filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.unionByName(now.filter("a = b")).distinct()
+        both, least = _with_least(now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        large = both.filter("b > a").select(F.col("b").alias("a"), F.least("a", "low").alias("b")).distinct()
         large = stage(large, "edges")
+        drop_staged(least)
         # then each node and its smaller neighbours go to the least of them
-        least = large.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "u")
-        joined = large.join(least, large["a"] == least["u"])
-        small = joined.select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")).select("e.a", "e.b")
-        after = stage(small.filter("a != b").unionByName(large.filter("a = b")).distinct(), "edges")
-        drop_staged(large)
-        drop_staged(now)
-        now, shape = after, _shape(after)
-        if shape == before:
-            break
-        before = shape
-    stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    stars = stars.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")))
-    return stars.groupBy("node").agg(F.min("root").alias("root"))  # an edge to itself gives way to any other
+        lower, least = _with_least(large)
+        pairs = F.array(F.struct(F.col("a").alias("a"), F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))
+        after = stage(lower.select(F.explode(pairs).alias("e")).select("e.a", "e.b").filter("a != b").distinct(), "edges")
+        for done in (least, large, *([] if first else [now])):
+            drop_staged(done)
+        now, first = after, False
+    nodes = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    for more in (now, edges):
+        nodes = nodes.unionByName(more.select(F.col("b").alias("node"), F.col("b").alias("root")))
+    return nodes.groupBy("node").agg(F.min("root").alias("root"))
