@@ -213,9 +213,10 @@ def group_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     met = rows.withColumn("low", F.min("node").over(together)).withColumn("c", F.count("*").over(together)).filter("c > 1")
     met = stage(met.groupBy("node", "low").agg(F.sum("c").alias("c")), "met")
     families = stage(components(met.select(F.col("node").alias("a"), F.col("low").alias("b"))), "families")
-    central = met.groupBy("node").agg(F.sum("c").alias("c"))
-    sizes = families.groupBy("root").agg(F.count("*").alias("members"))
-    members = families.join(sizes, "root").join(central, "node").join(classes, "node")
+    central = stage(met.groupBy("node").agg(F.sum("c").alias("c")), "central")
+    sizes = stage(families.groupBy("root").agg(F.count("*").alias("members")), "sizes")
+    members = stage(families.join(small(sizes), "root").join(small(central), "node"), "members")
+    members = classes.join(small(members), "node")
     members = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     members = stage(members.select("node", "root", "c", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "at.doc_id", "at.h"), "members")
 
@@ -237,18 +238,21 @@ def group_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
         return pd.DataFrame(forest(nodes, tokens, nodes, num, den), columns=["a", "b"], dtype="int64")
 
     # the most central class of a family of several blocks joins each of them
-    pivots = sets.filter("blocks > 1").groupBy("root").agg(F.max(F.struct("c", "node")).alias("p")).select("root", F.col("p.node").alias("node"))
+    pivots = sets.filter("blocks > 1").groupBy("root").agg(F.max(F.struct("c", "node")).alias("p"))
+    pivots = stage(pivots.select("root", F.col("p.node").alias("node")), "pivots")
     pivots = sets.join(small(pivots), ["root", "node"], "left_semi").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     links = sets.unionByName(pivots.select(sets.columns)).groupBy("root", "block").applyInPandas(compare, "a long, b long")
     links = stage(links, "links")
 
     if sets.filter("blocks > 1").limit(1).count():
         links = stage(links.unionByName(_across_blocks(sets, links, num, den)), "links")
-    linked = components(links)
-    # components of classes -> least document
-    placed = classes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = placed.join(lowest, "root").select("node", "component_id")
+    linked = stage(components(links), "linked")
+    # of linked classes, the least document of the component; of others, their own
+    placed = classes.select("node", "least").join(small(linked), "node")
+    lowest = stage(placed.groupBy("root").agg(F.min("least").alias("component_id")), "lowest")
+    lowest = stage(linked.join(small(lowest), "root").select("node", "component_id"), "lowest")
+    labels = classes.join(small(lowest).withColumn("linked", F.lit(True)), "node", "left")
+    labels = labels.select("node", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
     out = found.select("doc_id", "h", "n", "node").join(labels, "node", "left")
     return out.select("doc_id", "h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
@@ -259,12 +263,12 @@ def _across_blocks(sets: DataFrame, links: DataFrame, num: int, den: int) -> Dat
     Only classes outside their family's largest component, after the blocks' own links, can add any:
     they are compared, BLOCK at a time, with every block of the family.
     """
-    linked = components(links)
+    linked = small(stage(components(links), "linked"))
     large = sets.filter("blocks > 1").alias("s").join(linked.select("node", F.col("root").alias("mark")).alias("l"), F.col("s.node") == F.col("l.node"), "left")
     large = stage(large.select("s.*", F.coalesce("l.mark", "s.node").alias("mark")), "large")
-    main = large.groupBy("root", "mark").count().groupBy("root").agg(F.max(F.struct("count", "mark"))["mark"].alias("main"))
+    main = stage(large.groupBy("root", "mark").count().groupBy("root").agg(F.max(F.struct("count", "mark"))["mark"].alias("main")), "main")
     apart = large.join(small(main), "root").filter("mark != main").drop("main")
-    n_apart = apart.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+    n_apart = stage(apart.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks")), "apart")
     apart = apart.join(small(n_apart), "root").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(1)), "chunks").cast("int"))
     first = apart.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("apart", F.lit(True))
     second = large.join(small(n_apart), "root").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("apart", F.lit(False))

@@ -6,52 +6,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vdjspark.llm import jaccard, media, mixing, repeats, secrets, sharding, toxicity, training_order, winnowing
-from vdjspark.runtime import table
+from vdjspark.runtime import spread, table
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.dedup_bytes(table(spark, sf_dir, "documents"), length=400)
+    return repeats.dedup_bytes(spread(table(spark, sf_dir, "documents")), length=400)
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+    return secrets.digest(secrets.scan(spread(table(spark, sf_dir, "documents"))))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = jaccard.group_documents(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    groups = jaccard.group_documents(spread(table(spark, sf_dir, "documents")), n=3, num=90, den=100)
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op5_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.encode(table(spark, sf_dir, "documents"))
+    return media.encode(spread(table(spark, sf_dir, "documents")))
 
 
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.dedup_words(table(spark, sf_dir, "documents"), window=50)
+    return repeats.dedup_words(spread(table(spark, sf_dir, "documents")), window=50)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(spread(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("reps")).alias("taken"))
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.assign(table(spark, sf_dir, "documents"), sharding.leaves(40), sharding.leaves(41))
+    placed = sharding.assign(spread(table(spark, sf_dir, "documents")), sharding.leaves(40), sharding.leaves(41))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order.materialise(table(spark, sf_dir, "documents"))
+    return training_order.materialise(spread(table(spark, sf_dir, "documents")))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = winnowing.decontaminate(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
     hashed = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), hashed, "contaminated")
 
