@@ -22,8 +22,10 @@ def decode_quality(text: Column, encoding: str = "Illumina1.8") -> Column:
     """Characters -> array of Phred scores; a score out of range raises. Solexa scores are converted."""
     offset, low, high = ENCODINGS[encoding]
     scores = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c) - offset)
-    bad = F.filter(scores, lambda q: ~q.between(low, high))
-    checked = F.when(F.size(bad) == 0, scores).otherwise(F.raise_error(F.format_string(f"Quality score (%d) not in [{low}, {high}]", F.get(bad, 0))))
+    bad = F.get(F.filter(scores, lambda q: ~q.between(low, high)), 0)
+    # one look at the text instead of one at each score
+    good = text.rlike(f"^[\\x{low + offset:02x}-\\x{high + offset:02x}]*$")
+    checked = F.when(good, scores).when(text.isNotNull(), F.raise_error(F.format_string(f"Quality score (%d) not in [{low}, {high}]", bad)))
     return F.transform(checked, solexa_to_phred) if encoding == "Solexa" else checked
 
 

@@ -68,3 +68,9 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer partitions than cores (a small file of one row group), dealt to all cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
