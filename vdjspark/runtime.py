@@ -28,10 +28,12 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        # the setting is fixed once a session runs, so the context keeps the folder
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
+        found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
