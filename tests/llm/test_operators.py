@@ -141,7 +141,18 @@ def test_pigeonhole_keys_meet_for_every_linked_pair():
             for other in (b, c):
                 shared, union = len(np.intersect1d(a, other)), len(np.union1d(a, other))
                 if 100 * shared >= num * union and not np.array_equal(a, other):
-                    assert len(np.intersect1d(parts.keys(a), parts.keys(other)))
+                    shared_keys = set(np.intersect1d(parts.keys(a)[0], parts.keys(other)[0]).tolist())
+                    assert shared_keys
+                    # whichever parts are common elsewhere, two linked sets never leave out all that they share
+                    for count in (lambda k: k % 7, lambda k: 9 if k in shared_keys else 2, lambda k: 2 if k in shared_keys else 9):
+                        assert kept_keys(parts, a, count) & kept_keys(parts, other, count)
+
+
+def kept_keys(parts: jaccard.Parts, tokens: np.ndarray, count) -> set[int]:
+    groups = defaultdict(list)
+    for key, free in zip(*(x.tolist() for x in parts.keys(tokens)), strict=True):
+        groups[key & 3, free].append((-count(key), np.uint64(key).view(np.int64), key))
+    return {key for (_, free), keys in groups.items() for _, _, key in sorted(keys)[free:]}
 
 
 def brute_hits(rows: list, items: list) -> list[tuple]:

@@ -2,7 +2,8 @@
 
 Every document is its set of distinct word n-grams. Equal sets are one class from the start. Classes
 that may link meet by pigeonhole: a set is split by hash into more parts than two linked sets can
-differ in, so at least one part is equal, and parts hold several n-grams, so that few others meet. Classes
+differ in, so several parts are equal, and each set leaves out its most common ones, so that passages
+which many documents share make few others meet. Classes
 that meet, directly or through others, are a family. Within a family's blocks, signature trees find the
 pairs to compare: a node holds the OR of its members' token bitmaps and their range of sizes, and a dual
 traversal leaves out node pairs whose largest possible overlap is too small. What is left is compared
@@ -29,6 +30,8 @@ BLOCK = 256
 WORDS_OF_BITS = 32  # bitmaps of 2048 bits
 FANOUT = 8
 SEEDS = 4
+#: Parts, as a share of those needed, that sets have so that they can leave out the most common ones.
+EXTRA_PARTS = 0.15
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -47,13 +50,16 @@ class Parts:
 
     Level c is for pairs whose smaller set has low[c] .. low[c + 1] - 1 n-grams. Such sets of Jaccard
     num / den or more differ in at most ``differ`` n-grams, so of differ + 1 + spare parts more than
-    ``spare`` are equal. A set with at most ``spare`` empty parts thus shares one that isn't empty with
-    each of its partners and needs no keys for empty ones. Two that both have more try another split,
-    and the last split has keys for empty parts too; so no pair is lost.
+    ``spare`` are equal. Each set may thus do without ``spare`` of its parts, if all sets leave out
+    parts in one order: empty ones first, then those that most sets have. Of the equal parts of two
+    sets, the last in that order is left out by neither. A set with more than ``spare`` empty parts
+    leaves out only those, and two such sets try another split; in the last split they have keys for
+    empty parts too. So no pair is lost. More spare parts let sets leave out more of the passages
+    that they share with others, for more keys.
     """
 
-    def __init__(self, num: int, den: int, ratio: float = 1.5):
-        self.num, self.den, self.ratio = num, den, ratio
+    def __init__(self, num: int, den: int, ratio: float = 1.5, extra: float = EXTRA_PARTS):
+        self.num, self.den, self.ratio, self.extra = num, den, ratio, extra
         self.low, self.parts, self.spare = [1], [], []
         self._more(64)
 
@@ -61,22 +67,22 @@ class Parts:
         while self.low[-1] <= size:
             low, high = self.low[-1], max(self.low[-1] + 1, int(self.low[-1] * self.ratio))
             differ = (high - 1) * (self.den - self.num) // self.num
-            spare = math.ceil((differ + 1) * math.exp(-low / (differ + 1)))
+            spare = math.ceil((differ + 1) * (math.exp(-low / (differ + 1)) + self.extra))
             self.low.append(high)
             self.parts.append(differ + 1 + spare if differ else 0)  # 0: only equal sets link
             self.spare.append(spare)
 
-    def keys(self, tokens: np.ndarray) -> np.ndarray:
-        n = len(tokens)
+    def keys(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys, the level modulo 4 in their low bits; and for each the number that its split may leave out of its level."""
+        n, found, free = len(tokens), [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
         if n == 0:
-            return np.zeros(0, np.uint64)
+            return found[0], free[0]
         self._more(n)
         own = int(np.searchsorted(self.low, n, "right")) - 1
         levels = [own]
         # partners may be as small as num / den * n
         while levels[-1] > 0 and -(-n * self.num // self.den) < self.low[levels[-1]]:
             levels.append(levels[-1] - 1)
-        found = []
         for level in levels:
             if p := self.parts[level]:
                 for seed in range(SEEDS):
@@ -85,11 +91,14 @@ class Parts:
                     sums, counts = np.zeros(p, np.uint64), np.bincount(part, minlength=p)
                     np.add.at(sums, part, H.mixed(salted))
                     keys = H.mixed(sums + np.arange(p, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.uint64(level * 64 + seed))
-                    many = (counts == 0).sum() > self.spare[level]
+                    keys = (keys & ~np.uint64(3)) | np.uint64(level % 4)
+                    empty = int((counts == 0).sum())
+                    many = empty > self.spare[level]
                     found.append(keys if many and seed == SEEDS - 1 else keys[counts > 0])
+                    free.append(np.full(len(found[-1]), 0 if many else self.spare[level] - empty, np.int32))
                     if not many:
                         break
-        return np.concatenate(found) if found else np.zeros(0, np.uint64)
+        return np.concatenate(found), np.concatenate(free)
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
@@ -197,20 +206,26 @@ def group_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
             texts, rows = list(batch["text"]), []
             for a, b in H.chunks(texts):
                 for s in shingle_sets(texts[a:b], n):
-                    rows.append((len(s), int(H.mixed(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0, parts.keys(s).view(np.int64)))
-            out = pd.DataFrame(rows, columns=["n", "node", "keys"])
+                    keys, free = parts.keys(s)
+                    rows.append((len(s), int(H.mixed(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0, keys.view(np.int64), free))
+            out = pd.DataFrame(rows, columns=["n", "node", "keys", "free"])
             out.insert(0, "h", batch["h"].to_numpy())
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
     utf8 = _utf8(docs)
-    found = stage(utf8.mapInPandas(summaries, "doc_id long, h long, n long, node long, keys array<long>"), "sets")
+    found = stage(utf8.mapInPandas(summaries, "doc_id long, h long, n long, node long, keys array<long>, free array<int>"), "sets")
     classes = stage(found.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "h")).alias("at")), "classes")
 
+    # each class leaves out its most common parts; parts that only it has come last, so they needn't be ranked
+    rows = found.filter(F.size("keys") > 0).dropDuplicates(["node"])
+    rows = rows.select("node", F.explode(F.arrays_zip("keys", "free")).alias("k")).select("node", "k.keys", "k.free").withColumnRenamed("keys", "key")
+    common = rows.withColumn("c", F.count("*").over(Window.partitionBy("key"))).filter("c > 1")
+    order = Window.partitionBy("node", F.col("key").bitwiseAND(3), "free").orderBy(F.desc("c"), "key")
+    kept = common.withColumn("rank", F.row_number().over(order)).filter("rank > free")
     # classes that share a part: all are tied to the least of them; c tells how central a class is
-    rows = found.filter(F.size("keys") > 0).dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
     together = Window.partitionBy("key")
-    met = rows.withColumn("low", F.min("node").over(together)).withColumn("c", F.count("*").over(together)).filter("c > 1")
+    met = kept.select("node", "key", F.min("node").over(together).alias("low"), F.count("*").over(together).alias("c")).filter("c > 1")
     met = stage(met.groupBy("node", "low").agg(F.sum("c").alias("c")), "met")
     families = stage(components(met.select(F.col("node").alias("a"), F.col("low").alias("b"))), "families")
     central = stage(met.groupBy("node").agg(F.sum("c").alias("c")), "central")
