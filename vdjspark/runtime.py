@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a narrow table (a few fixed-width columns) that may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 500_000
+#: Bytes of an Arrow batch between Spark and Python: texts may be long, so rows alone don't bound a task's memory.
+BATCH_BYTES = 4 << 20
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -37,6 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Limit Arrow batches of the session to BATCH_BYTES, unless the cluster's settings name a limit."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def stage(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -44,6 +53,7 @@ def stage(df: DataFrame, name: str = "stage", compression: str = "snappy") -> Da
     non-deterministic plan, and gives the optimizer real sizes.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
@@ -69,6 +79,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
