@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -162,6 +163,30 @@ def test_umi_groups(spark):
     assert D.best_shift("ACTG", "AAACTG", 4, 4) == (2, 4)
 
 
+@pytest.mark.parametrize("chunk", [3, 10_000])
+def test_umi_groups_compare_every_read(spark, chunk):
+    rng = random.Random(5)
+    roots = ["".join(rng.choices("ACGT", k=45)) for _ in range(7)]
+    seqs = {roots[i % 7][: rng.choice((45, 45, 41))] for i in range(7)}
+    for i in range(70):
+        s = list(rng.choice(roots))
+        for _ in range(rng.randrange(6)):
+            s[rng.randrange(45)] = rng.choice("ACGTN")
+        seqs.add("".join(s)[rng.randrange(4) :])
+    order = sorted(seqs)
+    rng.shuffle(order)
+    leaders, want = [], {}
+    for i, s in enumerate(order):
+        lead = next((x for x in leaders if D.best_shift(s, x, 30, 4)[1] >= 24), None)
+        leaders += [] if lead else [s]
+        want.setdefault(lead or s, []).append(i)
+    fast = D.Leaders(30, 4, 24)
+    assert all(fast.shift(fast.coded(a), fast.coded(b)) == D.best_shift(a, b, 30, 4) for a in order[:40] for b in order[:40])
+    reads = spark.createDataFrame([("R1", "AA", i, s, [30] * len(s)) for i, s in enumerate(order)], "qualifier string, umi string, ordinal long, seq string, qual array<int>")
+    got = D.umi_consensus(reads, chunk=chunk).collect()
+    assert len(want) > 6 and {(r.ordinal, r["count"]) for r in got} == {(min(x), len(x)) for x in want.values()}
+
+
 def test_airr(spark):
     alleles = spark.createDataFrame([("TRBV1*01", 39, "A" * 36 + "TGT" + "AAAA"), ("TRBJ1*01", 10, "C" * 10 + "TTT" + "C" * 30)], "name string, refpos int, seq string")
     clone = spark.createDataFrame([(1, "TGTAAACCCTTT", [30] * 12, 7, "TRBV1*01", "TRBJ1*01", 4, 8)], "sequence_id long, seq string, qual array<int>, count long, v_call string, j_call string, v_end int, j_start int")

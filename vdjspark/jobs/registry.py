@@ -218,7 +218,7 @@ def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def umi_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consensus of reads that share source and their first five bases."""
     rows = reads(spark, sf_dir).select(F.col("source").alias("qualifier"), F.substring("seq", 1, 5).alias("umi"), "ordinal", "seq", "qual")
-    return D.umi_names(K.subgroup_ranks(D.umi_consensus(rows, rounds=3), ["qualifier", "umi"])).select("id", "seq", "qual_text", "count")
+    return D.umi_names(K.subgroup_ranks(D.umi_consensus(rows), ["qualifier", "umi"])).select("id", "seq", "qual_text", "count")
 
 
 def _clones(spark: SparkSession, sf_dir: str) -> DataFrame:
