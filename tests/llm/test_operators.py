@@ -274,6 +274,20 @@ def test_training_order_is_a_permutation_and_decodes(docs, empty, tmp_path, spar
     assert training_order.materialise(empty).count() == 0
 
 
+def test_slots_hold_when_staged_files_are_split_anew(docs, spark):
+    """The numbering and the output read the staged table with different splits, as when executors come or go."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    many = docs.repartition(6)
+    placed = training_order.materialise(many, length=64)
+    try:
+        spark.conf.set(key, "2k")
+        slots = [r.slot for r in placed.select("slot").collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(slots) == list(range(training_order.sequences(many, open(training_order.VOCABULARY, "rb").read(), 64).count()))
+
+
 def test_pieces_encode_as_whole_texts():
     encode = training_order.Encoder(open(training_order.VOCABULARY, "rb").read())
     for text in ("a b", " a", "a ", "a  b", "a\n b", "a \nb", "it's  'll x", "", " ", "é è　 x", "a\tb c. d", "1 22 a1 b-2"):

@@ -133,18 +133,19 @@ def materialise(docs: DataFrame, key: int = 20_240_229, length: int = 256, per_s
 
     Null and empty texts are one sequence of end marks. Equal rows have sequences and slots of their
     own. An empty table gives no rows. Rows are dealt by shard and sorted by slot within it. The
-    numbering follows the staged table, so a lost task is done again with the same slots.
+    row id is written with the staged sequences, so slots don't depend on how the table is split
+    when it is read. ``offset`` is a record's place in a shard of bare records; the Parquet shards that
+    write_shards() makes are read by slot, not by offset.
     """
     spark = docs.sparkSession
-    rows = stage(sequences(docs, read_vocabulary(spark, vocabulary), length), "sequences", compression="zstd")
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    made = sequences(docs, read_vocabulary(spark, vocabulary), length).withColumn("row", F.monotonically_increasing_id())
+    rows = stage(made, "sequences", compression="zstd")
     part = F.shiftright("row", 33)
-    cells = stage(rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")), "cells")  # a row for each partition
+    cells = stage(rows.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("row").alias("from")), "cells")  # a row for each partition
     total = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
-    firsts = cells.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"))
+    firsts = cells.select("part", "from", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"))
     numbered = rows.withColumn("part", part).join(small(firsts), "part")
-    index = F.col("first") + (F.col("row") - F.shiftleft(F.col("part"), 33))
-    placed = numbered.withColumn("slot", slot_of(index, total, key))
+    placed = numbered.withColumn("slot", slot_of(F.col("first") + F.col("row") - F.col("from"), total, key))
     placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
     placed = placed.withColumn("offset", (F.col("slot") % per_shard) * F.octet_length("tokens"))
     shards = max(1, -(-total // per_shard))
