@@ -309,6 +309,18 @@ def test_secrets_follow_constants():
     assert found == {"q8Zr5tLw0PxV": "client_credentials", "Zx81": "auth_key", "mmQ7pLk2": "auth_key"}
 
 
+def test_secrets_have_no_length_or_syntax_limits():
+    key = "q8Zr5tLw0PxV"
+    long = "Zx81mmQ7pLk2/+Ab" * 400
+    for text in (f'api_secret: str = "{key}"', f'const token: string = "{key}"', f'a = db_pwd = "{key}"', f'auth_key: Optional[str]="{key}"', f'db_pwd = "{long}"'):
+        want = long if long in text else key
+        assert any(text[s:e] == want for _, s, e, _, _ in secrets.found_in(text) if text[s:e] == want), text[:40]
+    parts = [f"Zx{i}mmQ7pLk2" for i in range(100, 200)]
+    text = "client_credentials = " + " + ".join(f'"{p}"' for p in parts)
+    assert [text[s:e] for kind, s, e, _, _ in secrets.found_in(text) if kind == "literal"] == parts
+    assert len(secrets.lexed("".join(["k = 'Zx81mmQ7pLk2'\n", *["k = k + k\n"] * 60, "pwd = k"]))) == 1
+
+
 def test_secret_scan_keeps_every_row(docs, empty):
     got = secrets.digest(secrets.scan(docs))
     assert got.count() == docs.count() and secrets.scan(empty).count() == 0

@@ -27,9 +27,14 @@ SENSITIVE = {
 }
 PLACEHOLDER = re.compile(r"^(?:x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|changeme|example|none|null|true|false|todo|test)$", re.I)
 
-_STRING = r""""(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}'"""
+_STRING = r""""(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'"""
 _TERM = rf"(?:{_STRING}|[A-Za-z0-9_/.=\-]+)"
-PAIR = re.compile(rf"""(?<![A-Za-z0-9_.\-])([A-Za-z_][A-Za-z0-9_.\-]*+)["']?[ \t]*(?::=|=>|=(?!=)|:(?!//))[ \t]*({_TERM}(?:[ \t]*\+[ \t]*{_TERM})*)""")
+_NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
+# a type has no digits, as a bare value without digits is no literal either
+_TYPE = r"(?:&(?:'static[ \t]+)?)?[A-Za-z_][A-Za-z_.]*+(?:[\[<][A-Za-z_., \t|&\[\]<>]*[\]>])?(?:[ \t]*\|[ \t]*[A-Za-z_.]++)*+"
+_THEN = r"""(?:[ \t]+=(?![=>])|=(?=[ \t]*["']))"""
+PAIR = re.compile(rf"""(?<![A-Za-z0-9_.\-])({_NAME})["']?(?:[ \t]*\??:[ \t]*{_TYPE}(?={_THEN}))?[ \t]*(?::=|=>|=(?!=)|:(?!//))[ \t]*((?:{_NAME}{_THEN}[ \t]*)*)({_TERM}(?:[ \t]*\+[ \t]*{_TERM})*)""")
+CHAINED = re.compile(_NAME)
 TERM = re.compile(rf"({_STRING})|([A-Za-z0-9_/.=\-]+)")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -58,13 +63,15 @@ def lexed(text: str, least: float = 0.5) -> list[tuple[int, int, str, float]]:
 
     Reads ``name = value`` pairs (also ``:``, ``:=``, ``=>``) in order. A value is literals and names
     joined by ``+``; a name that was assigned before stands for the literals assigned to it last, so a
-    literal is scored by each name it reaches, and keeps the best.
+    literal is scored by each name it reaches, and keeps the best. A type may stand between name and
+    value (``name: str = value``), and a value may have several targets (``a = b = value``).
     """
     env: dict[str, list[tuple[int, int]]] = {}
     best: dict[tuple[int, int], tuple[float, str]] = {}
+    alone: dict[tuple[int, int], float] = {}
     for pair in PAIR.finditer(text):
-        name, spans = pair[1], []
-        for term in TERM.finditer(text, *pair.span(2)):
+        spans = []
+        for term in TERM.finditer(text, *pair.span(3)):
             start, end = term.span()
             if term[1]:
                 spans.append((start + 1, end - 1))
@@ -72,11 +79,17 @@ def lexed(text: str, least: float = 0.5) -> list[tuple[int, int, str, float]]:
                 spans += known
             elif not IDENTIFIER.match(term[2]) or any(c.isdigit() for c in term[2]):
                 spans.append((start, end))
-        env[name] = spans = spans[:64]
-        if spans and (named := name_score(name)) > 0:
+        spans = list(dict.fromkeys(spans))  # a = a + a names each literal once
+        names = [pair[1], *CHAINED.findall(pair[2])]
+        env.update(dict.fromkeys(names, spans))
+        scored = [(named, name) for name in names if (named := name_score(name)) > 0]
+        if spans and scored:
             whole = literal_score("".join(text[a:b] for a, b in spans))
+            named, name = max(scored, key=lambda x: x[0])
             for span in spans:
-                score = named * max(whole, literal_score(text[slice(*span)]))
+                if span not in alone:
+                    alone[span] = literal_score(text[slice(*span)])
+                score = named * max(whole, alone[span])
                 if score >= least and score > best.get(span, (0.0, ""))[0]:
                     best[span] = score, name
     return [(*span, name, round(score, 4)) for span, (score, name) in best.items()]
