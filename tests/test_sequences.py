@@ -137,6 +137,15 @@ def test_merge_by_quality_and_unknown(spark):
     assert got == {base: 11, "NT" + base[2:]: 1, "TTTN": 1}
 
 
+def test_merges_go_on_until_none_is_left(spark):
+    chain = ["ACGTTGCAAC" * 3]
+    for i in range(25):
+        chain.append(chain[-1][:i] + ("A" if chain[-1][i] != "A" else "C") + chain[-1][i + 1 :])
+    rows = [(s, 200 - 4 * i, 5) for i, s in enumerate(chain)]
+    got = {r.seq: r["count"] for r in M.merge_by_quality(clones(spark, rows), 0.2, max_distance=1).collect()}
+    assert got == {chain[i]: 400 - 8 * i - 4 for i in range(0, 26, 2)}
+
+
 def test_merge_indels(spark):
     base = "ACGTTGCAAC" * 3
     rows = [(base, 1000, 40), (base[1:], 2, 40), (base + "A", 2, 40), (base[2:], 1, 40)]

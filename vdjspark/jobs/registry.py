@@ -231,17 +231,17 @@ def _shown(clones: DataFrame) -> DataFrame:
 
 @query()
 def merged_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(M.merge_by_quality(_clones(spark, sf_dir), 0.01, most=3))
+    return _shown(M.merge_by_quality(_clones(spark, sf_dir), 0.01))
 
 
 @query()
 def merged_by_abundance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(M.merge_by_abundance(_clones(spark, sf_dir), 0.01, max_distance=2, most=3))
+    return _shown(M.merge_by_abundance(_clones(spark, sf_dir), 0.01, max_distance=2))
 
 
 @query()
 def merged_indels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(M.merge_indels(_clones(spark, sf_dir), 0.001, 0.001, most=2))
+    return _shown(M.merge_indels(_clones(spark, sf_dir), 0.001, 0.001))
 
 
 @query()
