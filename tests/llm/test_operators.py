@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from vdjspark.llm import jaccard, media, mixing, repeats, secrets, sharding, toxicity, training_order, winnowing
@@ -372,6 +373,19 @@ def test_audio_is_lossless_and_tensors_round_trip(docs, empty):
     assert media.encode(empty).count() == 0
 
 
+def test_features_come_from_stored_tensors(spark, monkeypatch):
+    def zeroed(tensors, spans, store=media.tensor_bytes):
+        return store(tensors * 0, spans)
+
+    monkeypatch.setattr(media, "tensor_bytes", zeroed)
+    frame = spark.createDataFrame([(1, "a few words")], "doc_id long, text string")
+    captured = []
+    monkeypatch.setattr(type(frame), "mapInPandas", lambda self, work, schema: captured.append(work))
+    media.encode(frame)
+    (out,) = captured[0](iter([pd.DataFrame({"doc_id": [1], "text": [b"a few words"]})]))
+    assert "bands=" + "|".join(["0.00"] * media.BANDS) in out["feature"][0].replace("-0.00", "0.00")
+
+
 def test_resampling_keeps_a_tone():
     t = np.arange(8000) / media.RATE
     y = media.resampled(np.sin(2 * np.pi * 440 * t).astype(np.float32))

@@ -141,7 +141,8 @@ SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string,
 def encode(docs: DataFrame, keep: bool = False) -> DataFrame:
     """Documents -> sizes and hashes of payload and stored form, segments (milliseconds) and a feature text.
 
-    With ``keep`` also ``media`` (the stored file) and ``tensors`` (an Arrow stream, see tensor_bytes).
+    The feature text is of the tensors as read back from their Arrow stream (see tensor_bytes). With
+    ``keep`` also ``media`` (the stored file) and ``tensors`` (that stream).
     Null text counts as empty, which is one block of blanks. Equal texts give equal values.
     """
 
@@ -150,11 +151,13 @@ def encode(docs: DataFrame, keep: bool = False) -> DataFrame:
         _, samples = read_back(media)
         mel = log_mel(samples)
         spans = segments(mel.mean(axis=1))
-        tensors, times = blocks(mel)
+        data = tensor_bytes(*blocks(mel))
+        tensors, _ = tensors_from(data)
+        kept = tensors.reshape(-1, BANDS)[: len(mel)]
         ms = ",".join(f"{a * HOP * 1000 // TARGET}-{((b - 1) * HOP + FRAME) * 1000 // TARGET}" for a, b in spans)
-        feature = f"frames={len(mel)};segments={len(spans)};bands=" + "|".join(f"{v:.2f}" for v in mel.mean(axis=0, dtype=np.float64)) + f";tensors={'x'.join(map(str, tensors.shape))}"
+        feature = f"frames={len(mel)};segments={len(spans)};bands=" + "|".join(f"{v:.2f}" for v in kept.mean(axis=0, dtype=np.float64)) + f";tensors={'x'.join(map(str, tensors.shape))}"
         out = (len(text), len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(media), hashlib.sha256(media).hexdigest(), len(mel), ms, feature)
-        return (*out, media, tensor_bytes(tensors, times)) if keep else out
+        return (*out, media, data) if keep else out
 
     schema = SCHEMA + ", media binary, tensors binary" * keep
     names = [c.split()[0] for c in schema.split(", ")[1:]]
