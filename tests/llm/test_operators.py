@@ -51,14 +51,20 @@ def empty(spark):
 def test_bytes_removed_match_counts_of_all_strings(docs):
     rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
     counts = Counter(b[i : i + 400] for _, b in rows for i in range(len(b) - 399))
+    least: dict = {}
+    for doc_id, b in rows:
+        for i in range(len(b) - 399) if doc_id is not None else ():
+            least[b[i : i + 400]] = min(doc_id, least.get(b[i : i + 400], doc_id))
     want = []
     for doc_id, b in rows:
-        gone = np.zeros(len(b), bool)
+        gone, later = np.zeros(len(b), bool), np.zeros(len(b), bool)
         for i in range(len(b) - 399):
             if counts[b[i : i + 400]] > 1:
                 gone[i : i + 400] = True
+            if doc_id is not None and least[b[i : i + 400]] < doc_id:
+                later[i : i + 400] = True
         spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
-        want.append((doc_id, len(b), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest()))
+        want.append((doc_id, len(b), int(gone.sum()), spans, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest(), int(later.sum())))
     for hot in (1500, 1):  # by suffix array, and by window counts
         got = [tuple(r) for r in repeats.dedup_bytes(docs, hot=hot).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)

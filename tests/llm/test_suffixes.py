@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -17,12 +18,12 @@ def test_suffixes_are_in_order(text):
 @given(TEXTS)
 @settings(max_examples=200, deadline=None)
 def test_repeats_match_counts(pieces):
-    import numpy as np
-
-    counts = {}
-    for p in pieces:
+    where: dict = {}
+    least = np.arange(len(pieces))[::-1] // 2
+    for k, p in enumerate(pieces):
         for i in range(len(p) - 9):
-            counts[p[i : i + 10]] = counts.get(p[i : i + 10], 0) + 1
-    want = {(k, i) for k, p in enumerate(pieces) for i in range(len(p) - 9) if counts[p[i : i + 10]] > 1}
-    got = {(k, int(i)) for k, at in repeated_starts(pieces, 10, np.ones(len(pieces), bool)) for i in at}
+            where.setdefault(p[i : i + 10], []).append(least[k])
+    strings = [(k, i, where[p[i : i + 10]]) for k, p in enumerate(pieces) for i in range(len(p) - 9)]
+    want = {(k, i, bool(min(at) < least[k])) for k, i, at in strings if len(at) > 1}
+    got = {(k, int(i), bool(x)) for k, at, later in repeated_starts(pieces, 10, least) for i, x in zip(at, later, strict=True)}
     assert got == want

@@ -22,7 +22,7 @@ from vdjspark.llm.suffixes import repeated_starts
 from vdjspark.runtime import BROADCAST_ROWS, small, stage
 
 RUNS = "doc_id long, h long, start int, n int, anchor long, extent long"
-SPANS = "doc_id long, h long, start int, end int"
+PARTS = "anchor long, extent long, begin int, end int, later boolean"
 
 
 def _units(kind: str, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,12 +79,12 @@ def _edges(gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _finish(keyed: DataFrame, spans: DataFrame, of_text: Callable, schema: str) -> DataFrame:
-    joined = _with_lists(keyed, spans.select("doc_id", "h", "start", "end"), ["start", "end"], every=True)
+def _finish(keyed: DataFrame, spans: DataFrame, columns: list[str], of_text: Callable, schema: str) -> DataFrame:
+    joined = _with_lists(keyed, spans.select("doc_id", "h", *columns), columns, every=True)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [of_text(*row) for row in zip(batch["text"], batch["start"], batch["end"], strict=True)]
+            rows = [of_text(*row) for row in zip(batch["text"], *[batch[c] for c in columns], strict=True)]
             out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")[1:]])
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
@@ -93,13 +93,14 @@ def _finish(keyed: DataFrame, spans: DataFrame, of_text: Callable, schema: str)
 
 
 def _byte_result(keep_text: bool) -> Callable:
-    def of_text(text: bytes, starts: np.ndarray | None, ends: np.ndarray | None) -> tuple:
-        if starts is None:
-            kept, removed, n_spans = text, 0, 0
-        else:
+    def of_text(text: bytes, starts: np.ndarray | None, ends: np.ndarray | None, later: np.ndarray | None) -> tuple:
+        kept, removed, n_spans, n_later = text, 0, 0, 0
+        if starts is not None:
             gone = _removed(starts, ends, len(text))
             kept, removed, n_spans = np.frombuffer(text, np.uint8)[~gone].tobytes(), int(gone.sum()), len(_edges(gone)[0])
-        row = (len(text), removed, n_spans, hashlib.sha256(kept).hexdigest())
+            late = later.astype(bool)
+            n_later = int(_removed(starts[late], ends[late], len(text)).sum())
+        row = (len(text), removed, n_spans, hashlib.sha256(kept).hexdigest(), n_later)
         return (*row, kept) if keep_text else row
 
     return of_text
@@ -150,58 +151,72 @@ def dedup_words(docs: DataFrame, window: int = 50, gram: int = 8, keep_text: boo
     single = windows.join(counted.select("anchor", "hash", "least"), ["anchor", "hash"]).filter("doc_id > least")
     spans = whole.unionByName(single.select("doc_id", "h", "start", (F.col("start") + window).alias("end")))
     schema = "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text
-    return _finish(keyed, spans, _word_result(keep_text), schema)
+    return _finish(keyed, spans, ["start", "end"], _word_result(keep_text), schema)
 
 
 def dedup_bytes(docs: DataFrame, length: int = 400, gram: int = 128, hot: int = 1500, keep_text: bool = False) -> DataFrame:
-    """Documents -> doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``keep_text``, kept (binary).
+    """Documents -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_later and, with ``keep_text``, kept (binary).
 
     Removes each byte that a string of ``length`` bytes covers which also starts anywhere else, in the
-    same document too. Strings never cross documents and are judged on the input. Candidate strings,
-    grouped by anchor, are compared by two-stage suffix sorting (suffixes.py). An anchor with more
-    than ``hot`` contents is counted by window hash instead, so that no task gets an unbounded group.
-    Null text is empty. Each row is a document, equal rows too: their texts repeat each other.
+    same document too. Strings never cross documents and are judged on the input. n_later counts the
+    removed bytes whose string also starts in a document of a smaller doc_id: what would go if the
+    first holder kept its copy. Candidate strings, grouped by anchor, are compared by two-stage suffix
+    sorting (suffixes.py). An anchor with more than ``hot`` contents is counted by window hash instead,
+    so that no task gets an unbounded group. Null text is empty. Each row is a document, equal rows
+    too: their texts repeat each other. A null doc_id is smaller than none and has none smaller.
     """
     keyed = _keyed(docs)
     runs = stage(_runs(keyed, "bytes", length, gram), "runs")
-    contents = runs.groupBy("anchor", "extent").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "h", "start", "n")).alias("at"))
+    contents = runs.groupBy("anchor", "extent").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "h", "start", "n")).alias("at"), F.min("doc_id").alias("least"))
     anchors = contents.groupBy("anchor").agg(F.count("*").alias("contents"), F.sum("copies").alias("all")).filter("all > 1")
     shared = stage(contents.join(anchors.select("anchor", "contents"), "anchor"), "shared")
-    again = shared.filter("copies > 1").select("anchor", "extent")
-    whole = runs.join(again, ["anchor", "extent"]).select("doc_id", "h", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
-    open_runs = shared.filter("contents > 1").select("at.*", "anchor", (F.col("copies") > 1).alias("settled"), (F.col("contents") > hot).alias("hot"))
-    opened = _with_lists(keyed, open_runs, ["start", "n", "anchor", "settled", "hot"], every=False)
+    columns = ["start", "n", "anchor", "extent", "least", "settled", "hot"]
+    open_runs = shared.filter("contents > 1").select("at.*", "anchor", "extent", "least", (F.col("copies") > 1).alias("settled"), (F.col("contents") > hot).alias("hot"))
+    opened = _with_lists(keyed, open_runs, columns, every=False)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = batch["doc_id"].astype("Int64")
-            out = batch.drop(columns="doc_id").assign(doc_id=ids).explode(["start", "n", "anchor", "settled", "hot"], ignore_index=True)
+            out = batch[["text", *columns]].explode(columns, ignore_index=True)
             out["piece"] = [t[a : a + n + length - 1] for t, a, n in zip(out["text"], out["start"], out["n"], strict=True)]
-            yield out.drop(columns="text").astype({"start": "int32", "n": "int32", "anchor": "int64", "settled": bool, "hot": bool})
+            # a null doc_id is never the smaller one
+            out["least"] = out["least"].astype("Int64").fillna(np.iinfo(np.int64).max)
+            yield out.drop(columns=["text", "start"]).astype({"n": "int32", "anchor": "int64", "extent": "int64", "least": "int64", "settled": bool, "hot": bool})
 
-    pieces = stage(opened.mapInPandas(cut, "doc_id long, h long, start int, n int, anchor long, settled boolean, hot boolean, piece binary"), "pieces")
+    pieces = stage(opened.mapInPandas(cut, "n int, anchor long, extent long, least long, settled boolean, hot boolean, piece binary"), "pieces")
 
     def sort_suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _whole_groups(batches, "anchor", "piece", 1 << 18):
-            for of, at in repeated_starts(list(group["piece"]), length, ~group["settled"].to_numpy()):
+            settled, least = group["settled"].to_numpy(), group["least"].to_numpy()
+            for of, at, later in repeated_starts(list(group["piece"]), length, least):
                 row = group.iloc[of]
-                begins, ends = _edges(np.bincount(at, minlength=int(row["n"])) > 0)
-                yield pd.DataFrame({"doc_id": pd.array([row["doc_id"]] * len(begins), "Int64"), "h": row["h"], "start": row["start"] + begins, "end": row["start"] + ends + length - 1})
+                for chosen, flag in ((at[later], True), (at[~later], False)):
+                    if len(chosen) and (flag or not settled[of]):
+                        begins, ends = _edges(np.bincount(chosen, minlength=int(row["n"])) > 0)
+                        yield pd.DataFrame({"anchor": row["anchor"], "extent": row["extent"], "begin": begins, "end": ends + length - 1, "later": flag})
 
     def window_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
                 sums = H.prefix(np.frombuffer(row.piece, np.uint8).astype(np.uint64) + np.uint64(1))
                 at = np.arange(row.n)
-                yield pd.DataFrame({"anchor": row.anchor, "hash": H.stretch(sums, at, at + length).view("int64"), "doc_id": pd.array([row.doc_id] * row.n, "Int64"), "h": row.h, "start": row.start + at, "settled": row.settled})
-
-    cold = pieces.filter("not hot").repartition("anchor").sortWithinPartitions("anchor").mapInPandas(sort_suffixes, SPANS)
-    windows = pieces.filter("hot").mapInPandas(window_hashes, "anchor long, hash long, doc_id long, h long, start int, settled boolean")
-    counted = windows.groupBy("anchor", "hash").agg(F.count("*").alias("copies")).filter("copies > 1")
-    single = windows.join(counted, ["anchor", "hash"]).filter("not settled").select("doc_id", "h", "start", (F.col("start") + length).alias("end"))
-    spans = whole.unionByName(cold).unionByName(single)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
-    return _finish(keyed, spans, _byte_result(keep_text), schema)
+                yield pd.DataFrame({"anchor": row.anchor, "hash": H.stretch(sums, at, at + length).view("int64"), "extent": row.extent, "begin": at, "least": row.least, "settled": row.settled})
+
+    cold = pieces.filter("not hot").repartition("anchor").sortWithinPartitions("anchor").mapInPandas(sort_suffixes, PARTS)
+    windows = pieces.filter("hot").mapInPandas(window_hashes, "anchor long, hash long, extent long, begin int, least long, settled boolean")
+    counted = windows.groupBy("anchor", "hash").agg(F.count("*").alias("copies"), F.min("least").alias("first")).filter("copies > 1")
+    single = windows.join(counted, ["anchor", "hash"]).withColumn("later", F.col("least") > F.col("first")).filter("later or not settled")
+    parts = cold.unionByName(single.select("anchor", "extent", "begin", (F.col("begin") + length).alias("end"), "later"))
+    # of one content: at most its windows
+    parts = parts.groupBy("anchor", "extent").agg(F.collect_list(F.struct("begin", "end", "later")).alias("parts"))
+    judged = shared.select("anchor", "extent", "least", (F.col("copies") > 1).alias("whole")).join(parts, ["anchor", "extent"], "left").filter("whole or parts is not null")
+    rows = runs.join(judged, ["anchor", "extent"]).withColumn("late", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)))
+    every = F.array(F.struct(F.lit(0).alias("begin"), (F.col("n") + (length - 1)).alias("end"), F.col("late").alias("later")))
+    some = F.coalesce("parts", F.array().cast("array<struct<begin:int,end:int,later:boolean>>"))
+    found = F.when(F.col("late"), every).when(F.col("whole"), F.concat(every, some)).otherwise(some)
+    spans = rows.select("doc_id", "h", "start", F.explode(found).alias("x"))
+    spans = spans.select("doc_id", "h", (F.col("start") + F.col("x.begin")).alias("start"), (F.col("start") + F.col("x.end")).alias("end"), (F.col("x.later") & F.col("doc_id").isNotNull()).alias("later"))
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_later long" + ", kept binary" * keep_text
+    return _finish(keyed, spans, ["start", "end", "later"], _byte_result(keep_text), schema)
 
 
 def _whole_groups(batches: Iterator[pd.DataFrame], key: str, text: str, limit: int) -> Iterator[pd.DataFrame]:

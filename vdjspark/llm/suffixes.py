@@ -59,22 +59,29 @@ def common_prefix_reaches(text: bytes, a: np.ndarray, b: np.ndarray, depth: int)
     return out
 
 
-def repeated_starts(pieces: list[bytes], length: int, wanted: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each wanted piece, the starts of its strings of ``length`` (8 at least) that occur again in any piece."""
+def repeated_starts(pieces: list[bytes], length: int, least: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each piece, the starts of its strings of ``length`` (8 at least) that occur again in any piece.
+
+    With them, whether the string occurs in a piece of a smaller number in ``least``.
+    """
     text = bytes([END]).join(pieces) + bytes([END])
     first = np.cumsum([0, *[len(p) + 1 for p in pieces[:-1]]])
     order = suffix_array(text, length)
     # only strings within their piece
     piece = np.searchsorted(first, order, "right") - 1
     sizes = np.array([len(p) for p in pieces])
-    order = order[order + length <= first[piece] + sizes[piece]]
-    again = np.zeros(len(order), bool)
-    if len(order) > 1:
-        same = common_prefix_reaches(text, order[:-1], order[1:], length)
-        again[:-1] |= same
-        again[1:] |= same
-    starts = np.sort(order[again])
-    piece = np.searchsorted(first, starts, "right") - 1
+    inside = order + length <= first[piece] + sizes[piece]
+    order, piece = order[inside], piece[inside]
+    if len(order) < 2:
+        return
+    same = common_prefix_reaches(text, order[:-1], order[1:], length)
+    begins = np.concatenate([[0], np.flatnonzero(~same) + 1])  # of the classes of equal strings
+    counts = np.diff(begins, append=len(order))
+    lowest = np.repeat(np.minimum.reduceat(least[piece], begins), counts)
+    again = np.repeat(counts > 1, counts)
+    starts, piece, later = order[again], piece[again], (least[piece] > lowest)[again]
+    at = np.argsort(starts)
+    starts, piece, later = starts[at], piece[at], later[at]
     for p in np.unique(piece):
-        if wanted[p]:
-            yield int(p), starts[piece == p] - first[p]
+        mine = piece == p
+        yield int(p), starts[mine] - first[p], later[mine]
