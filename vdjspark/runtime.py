@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
-#: Rows of a narrow table (a few fixed-width columns) that may be broadcast; beyond it joins shuffle.
-BROADCAST_ROWS = 500_000
+#: Bytes of values that may be broadcast; beyond it joins shuffle.
+BROADCAST_BYTES = 8 << 20
+#: Rows of two fixed-width columns within it.
+BROADCAST_ROWS = BROADCAST_BYTES // 16
 #: Bytes of an Arrow batch between Spark and Python: texts may be long, so rows alone don't bound a task's memory.
 BATCH_BYTES = 4 << 20
 
@@ -29,10 +33,12 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a new one where it is unset."""
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         # the setting is fixed once a session runs, so the context keeps the folder
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
         found = context.getCheckpointDir()
@@ -70,12 +76,28 @@ def drop_staged(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of ``df`` only if a count proves it within ``rows``; else leave the join to shuffle.
+def _width(value: Column, kind: DataType) -> Column | None:
+    """Bytes of a value of varying width; None for the others."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0))
+    return None
 
-    Meant for staged or source tables, whose count reads no column.
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast of ``df`` only if its values are measured to take at most ``most`` bytes; else the join shuffles.
+
+    Meant for staged or source tables: of fixed-width columns the rows are counted, which reads no
+    column; of others the lengths are summed too, unless the rows alone take more.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    rows = most // (8 * max(1, len(df.columns)))
+    if df.limit(rows + 1).count() > rows:
+        return df
+    varying = [w for f in df.schema.fields if (w := _width(df[f.name], f.dataType)) is not None]
+    if varying and (df.select(sum(varying[1:], varying[0]).cast("long").alias("w")).agg(F.sum("w")).head()[0] or 0) > most:
+        return df
+    return F.broadcast(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
