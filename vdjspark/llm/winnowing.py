@@ -3,8 +3,8 @@
 Of every window of ``window`` consecutive words, the least hash of its ``gram``-grams is its
 fingerprint; runs of windows share one, so a text has few. Equal windows have equal fingerprints, which
 guarantees that every shared span of ``window`` words is met. Documents are joined with the benchmark on
-fingerprints first; only the windows of documents that have one are then compared word by word, and
-overlapping hits are extended to the words they cover.
+fingerprints first, to find those that share one; in these, each place of a shared fingerprint is
+extended to the windows around it that a benchmark item has too, and overlapping hits become spans.
 """
 
 from __future__ import annotations
@@ -41,48 +41,58 @@ def with_fingerprints(df: DataFrame, window: int, gram: int) -> DataFrame:
     return df.withColumn("prints", F.slice("prints", 1, F.greatest(F.size("words") - (window - 1), F.lit(0)))).drop("hashes", "grams")
 
 
-def _window_texts(words: Column, n: int, at: Column) -> Column:
-    return F.transform(at, lambda i: F.struct(i.alias("at"), F.array_join(F.slice(words, i + 1, n), " ").alias("words")))
+def _grams(n: int) -> Column:
+    """Hashes of n consecutive words at each place of ``words``."""
+    starts = F.sequence(F.lit(0), F.size("words") - n)
+    return F.when(F.size("words") >= n, F.transform(starts, lambda i: F.xxhash64(F.slice("words", i + 1, n))))
+
+
+def _windows(df: DataFrame, keep: list[str], window: int, gram: int, short: list[int]) -> DataFrame:
+    """keep, n, at, print, hash: a row for each window of ``words``, of each length; a short window is its own fingerprint."""
+    whole = with_fingerprints(df.select(*keep, "words"), window, gram).withColumn("hashes", _grams(window))
+    rows = whole.select(*keep, F.lit(window).alias("n"), F.posexplode(F.arrays_zip("prints", "hashes")).alias("at", "x"))
+    rows = rows.select(*keep, "n", "at", F.col("x.prints").alias("print"), F.col("x.hashes").alias("hash"))
+    for n in short:
+        some = df.select(*keep, F.lit(n).alias("n"), F.posexplode(_grams(n)).alias("at", "hash"))
+        rows = rows.unionByName(some.withColumn("print", F.col("hash")))
+    return rows
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5) -> DataFrame:
     """Documents -> doc_id, h, n_words, n_hit, items (sorted as text), contaminated; h = xxhash64(text).
 
     A window is ``window`` consecutive words of a benchmark item; an item of fewer words, but not none,
-    is one window. A document's word is hit inside any occurrence of a window. Null texts, empty texts
-    and an empty benchmark give no hits. Null item ids are left out of ``items`` but their windows count
-    as hits. Rows with equal doc_id and text have equal results; each row stays.
+    is one window. A document's word is hit inside any occurrence of a window. Windows are told apart by
+    128 bits of hash (fingerprint and whole window). Null texts, empty texts and an empty benchmark give
+    no hits. Null item ids are left out of ``items`` but their windows count as hits. Rows with equal
+    doc_id and text have equal results; each row stays.
     """
-    spark = docs.sparkSession
     items = stage(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("words")).filter(F.size("words") > 0), "items")
-    long_items = items.filter(F.size("words") >= window)
-    prints = stage(with_fingerprints(long_items, window, gram).select(F.explode(F.array_distinct("prints")).alias("print")).distinct(), "prints")
-    n = F.least(F.size("words"), F.lit(window))
-    starts = F.sequence(F.lit(0), F.size("words") - n)
-    texts = items.select("item_id", n.alias("n"), F.explode(F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("words", i + 1, n), " ")))).alias("window"))
-    windows = stage(texts.groupBy("n", "window").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "windows")
-    short = sorted(r["n"] for r in windows.filter(F.col("n") < window).select("n").distinct().collect())  # below window: a few numbers
+    lengths = items.filter(F.size("words") < window).select(F.size("words").alias("n")).distinct()
+    short = sorted(r["n"] for r in lengths.collect())  # numbers below window
+    found = _windows(items.filter(F.size("words") >= window), ["item_id"], window, gram, [])
+    for n in short:
+        found = found.unionByName(_windows(items.filter(F.size("words") == n), ["item_id"], window, gram, [n]).filter(F.col("n") == n))
+    windows = stage(found.groupBy("n", "print", "hash").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "windows")
+    prints = stage(windows.select("n", "print").distinct(), "prints")
 
     key = docs.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce("text", F.lit("")).alias("text"))
     split = key.select("doc_id", "h", words_of(F.col("text")).alias("words"))
-    seen = with_fingerprints(split, window, gram).select("doc_id", "h", F.explode(F.array_distinct("prints")).alias("print"))
-    met = seen.join(small(prints), "print").select("doc_id", "h").distinct()
-    if short:
-        firsts = stage(windows.filter(F.col("n") < window).select(F.split("window", " ").alias("w"), "n").select(F.col("w")[0].alias("first")).distinct(), "firsts")
-        opening = split.select("doc_id", "h", F.explode(F.array_distinct("words")).alias("first")).join(small(firsts), "first").select("doc_id", "h").distinct()
-        met = met.unionByName(opening).distinct()
-    met = stage(met, "met")
+    # one pass over all words: their number and the distinct fingerprints
+    seen = with_fingerprints(split, window, gram).select("doc_id", "h", F.size("words").cast("long").alias("n_words"), F.array_distinct("prints").alias("prints"))
+    seen = stage(seen, "fingerprints")
+    met = seen.select("doc_id", "h", F.explode("prints").alias("print")).join(small(prints.filter(F.col("n") == window).select("print")), "print").select("doc_id", "h")
+    for n in short:
+        grams = split.select("doc_id", "h", F.explode(F.array_distinct(_grams(n))).alias("print"))
+        met = met.unionByName(grams.join(small(prints.filter(F.col("n") == n).select("print")), "print").select("doc_id", "h"))
+    met = stage(met.distinct(), "met")
     same = F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("t.h") == F.col("m.h"))
-    hit_docs = split.alias("t").join(small(met).alias("m"), same, "left_semi")
-    everywhere = F.sequence(F.lit(0), F.size("words") - window)
-    spans = hit_docs.filter(F.size("words") >= window).select("doc_id", "h", F.lit(window).alias("n"), F.explode(_window_texts(F.col("words"), window, everywhere)).alias("x"))
-    for k in short:
-        every = F.sequence(F.lit(0), F.size("words") - k)
-        spans = spans.unionByName(hit_docs.filter(F.size("words") >= k).select("doc_id", "h", F.lit(k).alias("n"), F.explode(_window_texts(F.col("words"), k, every)).alias("x")))
-    spans = spans.select("doc_id", "h", "n", F.col("x.at").alias("at"), F.col("x.words").alias("window"))
-    hits = spans.join(small(windows, 100_000), ["n", "window"]).select("doc_id", "h", "at", "n", "items").distinct()
+    hit_docs = key.alias("t").join(small(met).alias("m"), same, "left_semi").select("doc_id", "h", words_of(F.col("text")).alias("words"))
+    # first the places of shared fingerprints, then the windows around them
+    places = _windows(hit_docs, ["doc_id", "h"], window, gram, short).join(small(prints), ["n", "print"])
+    hits = places.join(small(windows), ["n", "print", "hash"])
     # of one document: bounded by its own length
-    per_doc = hits.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    per_doc = hits.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set(F.struct("at", "n"))).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     start = F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n"))
     covered = F.aggregate(
         "spans",
@@ -90,9 +100,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
         lambda acc, s: F.struct(F.greatest(acc["upto"], s["at"] + s["n"]).alias("upto"), (acc["n"] + F.greatest(F.lit(0), s["at"] + s["n"] - F.greatest(acc["upto"], s["at"]))).alias("n")),
         lambda acc: acc["n"],
     )
-    per_doc = per_doc.select("doc_id", "h", covered.alias("n_hit"), F.sort_array("items").alias("items"))
-    all_docs = split.select("doc_id", "h", F.size("words").cast("long").alias("n_words"))
-    joined = all_docs.alias("t").join(per_doc.alias("m"), same, "left")
+    per_doc = stage(per_doc.select("doc_id", "h", covered.alias("n_hit"), F.sort_array("items").alias("items")), "hits")
+    joined = seen.select("doc_id", "h", "n_words").alias("t").join(small(per_doc).alias("m"), same, "left")
     n_hit = F.coalesce("m.n_hit", F.lit(0)).cast("long")
     return joined.select("t.doc_id", "t.h", "t.n_words", n_hit.alias("n_hit"), F.coalesce("m.items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))
 
