@@ -132,9 +132,13 @@ def test_merge_by_quality_and_unknown(spark):
     rows = [(base, 90, 40), ("C" + base[1:], 2, 5), (base[:-1] + "G", 3, 40)]
     got = {r.seq: r["count"] for r in M.merge_by_quality(clones(spark, rows), 0.01).collect()}
     assert got == {base: 92, base[:-1] + "G": 3}
-    rows = [(base, 9, 40), ("N" + base[1:], 2, 5), ("NT" + base[2:], 1, 5), ("TTTN", 1, 5)]
+    rows = [(base, 9, 40), ("N" + base[1:], 2, 5), ("NT" + base[2:], 1, 5), ("TTTN", 1, 5), ("TTTTACGTAC", 3, 9), ("NNNNACGTAC", 1, 5), ("N" * 10, 1, 5)]
     got = {r.seq: r["count"] for r in M.merge_unknown(clones(spark, rows)).collect()}
-    assert got == {base: 11, "NT" + base[2:]: 1, "TTTN": 1}
+    assert got == {base: 11, "NT" + base[2:]: 1, "TTTN": 1, "TTTTACGTAC": 5}
+
+
+def test_reach_follows_counts_and_rates():
+    assert [M.farthest(n, 45, 0.01) for n in (1, 100, 40_000)] == [0, 2, 5] and M.farthest(1e9, 10, 0.0) == 0
 
 
 def test_merges_go_on_until_none_is_left(spark):
@@ -142,7 +146,7 @@ def test_merges_go_on_until_none_is_left(spark):
     for i in range(25):
         chain.append(chain[-1][:i] + ("A" if chain[-1][i] != "A" else "C") + chain[-1][i + 1 :])
     rows = [(s, 200 - 4 * i, 5) for i, s in enumerate(chain)]
-    got = {r.seq: r["count"] for r in M.merge_by_quality(clones(spark, rows), 0.2, max_distance=1).collect()}
+    got = {r.seq: r["count"] for r in M.merge_by_quality(clones(spark, rows), 0.2).collect()}
     assert got == {chain[i]: 400 - 8 * i - 4 for i in range(0, 26, 2)}
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vdjspark.functions.sequences import encode_quality, translate_codons
+from vdjspark.runtime import small
 
 # The output columns in order.
 COLUMNS = (
@@ -30,13 +31,15 @@ def rearrangements(clones: DataFrame, alleles: DataFrame | None = None) -> DataF
     if alleles is not None:
         v = alleles.select(F.col("name").alias("v_call"), F.col("refpos").alias("v_at"), F.col("seq").alias("v_seq"))
         j = alleles.select(F.col("name").alias("j_call"), F.col("refpos").alias("j_at"), F.col("seq").alias("j_seq"))
-        rows = rows.join(v, "v_call").join(j, "j_call")
+        rows = rows.join(small(v), "v_call").join(small(j), "j_call")
         v_at, j_at, seq = F.col("v_at"), F.col("j_at"), F.col("seq")
         full = F.concat(F.substring("v_seq", F.lit(1), v_at - 3), seq, F.substring("j_seq", j_at + 4, F.length("j_seq")))
         protein = translate_codons(full)
         stops = F.contains(protein, F.lit("*"))
         at_v, at_j = translate_codons(F.substring("v_seq", v_at - 2, F.lit(3))), translate_codons(F.substring("j_seq", j_at + 1, F.lit(3)))
-        kept = (translate_codons(F.substring(seq, 1, 3)) == at_v) & (translate_codons(F.substring(seq, F.length(seq) - 2, F.lit(3))) == at_j)
+        # the junction's first and last whole codons
+        junction = translate_codons(seq)
+        kept = (F.substring(junction, 1, 1) == at_v) & (F.substring(junction, -1, 1) == at_j)
         in_frame, stop, productive = _flag(F.length(full) % 3 == (F.length("j_seq") - j_at) % 3), _flag(stops), _flag(kept & ~stops)
         cdr3_start, cdr3_end = v_at + 1, v_at + 1 + F.length(seq) - 7
         v_end, j_start = v_at - 3 + F.col("v_end"), v_at - 3 + F.col("j_start") + 1

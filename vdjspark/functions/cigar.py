@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,7 +18,11 @@ def tokens(cigar: Column) -> Column:
 
 
 def placed(cigar: Column, ras: Column) -> Column:
-    """Each operation with its place: array<struct<op, n, q, r>>, q and r where it begins in query and reference."""
+    """Each operation with its place: array<struct<op, n, q, r>>, q and r where it begins in query and reference.
+
+    Operations of length 0 are left out; ``*`` has none; any other text that is no CIGAR raises. Make it a
+    column once where several functions of this module read the same alignment, and give it as ``ops``.
+    """
     start = F.struct(F.array().cast("array<struct<op:string,n:int,q:int,r:int>>").alias("ops"), F.lit(0).alias("q"), ras.cast("int").alias("r"))
 
     def step(s: Column, t: Column) -> Column:
@@ -25,7 +31,9 @@ def placed(cigar: Column, ras: Column) -> Column:
         reference = F.when(t["op"].isin("M", "X", "=", "D", "N"), t["n"]).otherwise(0)
         return F.struct(F.concat(s["ops"], F.array(here)).alias("ops"), (s["q"] + query).alias("q"), (s["r"] + reference).alias("r"))
 
-    return F.aggregate(tokens(cigar), start, step, lambda s: s["ops"])
+    good = cigar.rlike(r"^(\*|([0-9]+[MIDNSHP=X])+)$")
+    checked = F.when(good, cigar).when(cigar.isNotNull(), F.raise_error(F.concat(F.lit("invalid CIGAR "), cigar)))
+    return F.aggregate(F.filter(tokens(checked), lambda t: t["n"] > 0), start, step, lambda s: s["ops"])
 
 
 def _first_last(ops: Column) -> tuple[Column, Column]:
@@ -33,10 +41,9 @@ def _first_last(ops: Column) -> tuple[Column, Column]:
     return F.get(aligned, 0), F.get(aligned, F.size(aligned) - 1)
 
 
-def intervals(cigar: Column, ras: Column) -> Column:
+def intervals(cigar: Column, ras: Column, ops: Column | None = None) -> Column:
     """struct<qas, qae, ras, rae>: where query and reference are aligned."""
-    ops = placed(cigar, ras)
-    first, last = _first_last(ops)
+    first, last = _first_last(placed(cigar, ras) if ops is None else ops)
     return F.struct(
         first["q"].alias("qas"),
         (last["q"] + F.when(last["op"].isin("M", "X", "=", "I"), last["n"]).otherwise(0)).alias("qae"),
@@ -45,39 +52,64 @@ def intervals(cigar: Column, ras: Column) -> Column:
     )
 
 
-def query_position(cigar: Column, ras: Column, target: Column) -> Column:
+def query_position(cigar: Column, ras: Column, target: Column, ops: Column | None = None) -> Column:
     """The query position aligned with a reference position; null before, after and in gaps."""
-    at = F.filter(placed(cigar, ras), lambda o: o["op"].isin("M", "X", "=") & (o["r"] <= target) & (target < o["r"] + o["n"]))
-    return F.get(at, 0)["q"] + target - F.get(at, 0)["r"]
+    at = F.filter(placed(cigar, ras) if ops is None else ops, lambda o: o["op"].isin("M", "X", "=") & (o["r"] <= target) & (target < o["r"] + o["n"]))
+    return F.get(F.transform(at, lambda o: o["q"] + target - o["r"]), 0)
 
 
-def error_stats(cigar: Column, pos: Column, seq: Column, reference: Column, roi_start: Column | None = None, roi_end: Column | None = None) -> Column:
-    """struct<n, mm, ins, dels, roi_as, roi_ae> of an alignment (1-based ``pos``) within a stretch of the reference.
-
-    n counts aligned and inserted bases, mm aligned bases that differ. Null bounds mean the whole reference.
-    """
-    ras = pos - 1
+def _region(reference: Column, roi_start: Column | None, roi_end: Column | None) -> tuple[Column, Column]:
+    """Bounds, by default the whole reference; bounds below 0 or in the wrong order raise."""
     low = F.lit(0) if roi_start is None else F.coalesce(roi_start, F.lit(0))
     high = F.length(reference) if roi_end is None else F.coalesce(roi_end, F.length(reference))
-    ops = placed(cigar, ras)
+    bad = F.raise_error(F.format_string("no region from %d to %d", low, high)).cast("int")
+    return F.when((low >= 0) & (low < high), low).otherwise(bad), high
+
+
+def _aligned(ops: Column, low: Column, high: Column, of: Callable[[Column, Column], Column]) -> Column:
+    """of(query position, reference position) of each aligned pair with low <= reference position < high."""
 
     def pairs(o: Column) -> Column:
-        inside = F.filter(F.sequence(F.lit(0), o["n"] - 1), lambda k: (o["r"] + k >= low) & (o["r"] + k < high))
-        return F.transform(inside, lambda k: F.substring(seq, o["q"] + k + 1, F.lit(1)) != F.substring(reference, o["r"] + k + 1, F.lit(1)))
+        # cut to the region first: an operation lists only its bases there
+        first, last = F.greatest(low - o["r"], F.lit(0)), F.least(high - o["r"], o["n"])
+        return F.when(first < last, F.transform(F.sequence(first, F.greatest(last - 1, first)), lambda k: of(o["q"] + k, o["r"] + k)))
 
-    aligned = F.flatten(F.transform(F.filter(ops, lambda o: o["op"].isin("M", "X", "=")), pairs))
+    listed = F.transform(F.filter(ops, lambda o: o["op"].isin("M", "X", "=")), pairs)
+    return F.flatten(F.filter(listed, lambda x: x.isNotNull()))
 
-    def total(kind: str, also_end: bool) -> Column:
-        found = F.filter(ops, lambda o: (o["op"] == kind) & (o["r"] >= low) & (o["r"] < high))
-        return F.aggregate(found, F.lit(0), lambda s, o: s + F.when(F.lit(also_end), F.least(o["n"], high - o["r"])).otherwise(o["n"]))
 
-    ins = total("I", False)
-    span = intervals(cigar, ras)
+def _indels(ops: Column, kind: str, low: Column, high: Column) -> Column:
+    return F.filter(ops, lambda o: (o["op"] == kind) & (o["r"] >= low) & (o["r"] < high))
+
+
+def error_stats(cigar: Column, pos: Column, seq: Column, reference: Column, roi_start: Column | None = None, roi_end: Column | None = None, ops: Column | None = None) -> Column:
+    """struct<n, mm, ins, dels, roi_as, roi_ae> of an alignment (1-based ``pos``) within a stretch of the reference.
+
+    n counts aligned and inserted bases, mm aligned bases that differ. Null bounds mean the whole
+    reference; a start below 0 or not before the end raises.
+    """
+    ras = pos - 1
+    low, high = _region(reference, roi_start, roi_end)
+    ops = placed(cigar, ras) if ops is None else ops
+    differs = _aligned(ops, low, high, lambda q, r: F.substring(seq, q + 1, F.lit(1)) != F.substring(reference, r + 1, F.lit(1)))
+    ins = F.aggregate(_indels(ops, "I", low, high), F.lit(0), lambda s, o: s + o["n"])
+    dels = F.aggregate(_indels(ops, "D", low, high), F.lit(0), lambda s, o: s + F.least(o["n"], high - o["r"]))
+    span = intervals(cigar, ras, ops)
     return F.struct(
-        (F.size(aligned) + ins).alias("n"),
-        F.size(F.filter(aligned, lambda x: x)).alias("mm"),
+        (F.size(differs) + ins).alias("n"),
+        F.size(F.filter(differs, lambda x: x)).alias("mm"),
         ins.alias("ins"),
-        total("D", True).alias("dels"),
+        dels.alias("dels"),
         F.greatest(span["ras"], low).alias("roi_as"),
         F.least(span["rae"], high).alias("roi_ae"),
     )
+
+
+def base_qualities(cigar: Column, pos: Column, seq: Column, qual: Column, reference: Column, roi_start: Column | None = None, roi_end: Column | None = None, ops: Column | None = None) -> Column:
+    """array<struct<q, wrong>>: quality of each base that error_stats() counts in n, and whether it is an aligned one that differs."""
+    low, high = _region(reference, roi_start, roi_end)
+    ops = placed(cigar, pos - 1) if ops is None else ops
+    wrong = lambda q, r: F.substring(seq, q + 1, F.lit(1)) != F.substring(reference, r + 1, F.lit(1))
+    aligned = _aligned(ops, low, high, lambda q, r: F.struct(F.get(qual, q).alias("q"), wrong(q, r).alias("wrong")))
+    inserted = F.transform(_indels(ops, "I", low, high), lambda o: F.transform(F.slice(qual, o["q"] + 1, o["n"]), lambda q: F.struct(q.alias("q"), F.lit(False).alias("wrong"))))
+    return F.concat(aligned, F.flatten(inserted))

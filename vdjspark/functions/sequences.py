@@ -89,3 +89,32 @@ def mismatch_quality(a: Column, qa: Column, b: Column, qb: Column) -> Column:
         return F.when(differs, after).otherwise(s)
 
     return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), start, step)
+
+
+def joined_reads(a: Column, b: Column) -> Column:
+    """struct<name, seq, qual> of two reads one after the other (structs of these fields); the name is ``(a,b)``."""
+    name = F.concat(F.lit("("), a["name"], F.lit(","), b["name"], F.lit(")"))
+    return F.struct(name.alias("name"), F.concat(a["seq"], b["seq"]).alias("seq"), F.concat(a["qual"], b["qual"]).alias("qual"))
+
+
+#: Letters as digits of base 32, of which twelve fit a long.
+_LETTERS, _DIGITS, _PACKED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789ABCDEFGHIJKLMNOP", 12
+
+
+def packed(seq: Column) -> Column:
+    """array<long> that holds a string of A to Z at five bits a letter; null for other strings."""
+    digits = F.translate(seq, _LETTERS, _DIGITS)
+    starts = F.sequence(F.lit(0), F.floor(F.length(seq) / _PACKED).cast("int"))
+    return F.when(seq.rlike("^[A-Z]*$"), F.transform(starts, lambda i: F.coalesce(F.conv(F.substring(digits, i * _PACKED + 1, F.lit(_PACKED)), 32, 10).cast("long"), F.lit(0).cast("long"))))
+
+
+def packed_hamming(a: Column, b: Column) -> Column:
+    """Differing positions of two packed() strings of one length: twelve letters at a time."""
+    ones = F.lit(sum(1 << 5 * i for i in range(_PACKED)))
+
+    def differ(x: Column, y: Column) -> Column:
+        z = x.bitwiseXOR(y)
+        z = z.bitwiseOR(F.shiftright(z, 1)).bitwiseOR(F.shiftright(z, 2)).bitwiseOR(F.shiftright(z, 3)).bitwiseOR(F.shiftright(z, 4))
+        return F.bit_count(z.bitwiseAND(ones))
+
+    return F.aggregate(F.zip_with(a, b, differ), F.lit(0), lambda s, x: s + x)

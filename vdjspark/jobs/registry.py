@@ -194,14 +194,15 @@ def routed_clones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT l_orderkey, l_linenumber AS s, CAST(l_quantity AS INT) AS m, CAST(l_suppkey % 4 + 1 AS INT) AS d, CAST(l_partkey % 5 + 1 AS INT) AS i, CAST(l_suppkey % 50 AS INT) AS ras FROM lineitem)
-SELECT l_orderkey, s AS line, s AS qas, s + m + i + 7 AS qae, ras + m + d + 7 AS rae, s + CAST(m / 2 AS INT) AS at_match, CAST(NULL AS INT) AS at_gap, s + m + i AS after_gap FROM (SELECT *, m AS mm FROM c) WHERE m % 2 = 0""")
+SELECT l_orderkey, s AS line, s AS qas, s + m + i + 7 AS qae, ras + m + d + 7 AS rae, s + m // 2 AS at_match, CAST(NULL AS INT) AS at_gap, s + m + i AS after_gap FROM c""")
 def cigar_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CIGAR strings made of order lines, measured and used to map reference positions."""
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("line"), F.col("l_quantity").cast("int").alias("m"), (F.col("l_suppkey") % 4 + 1).cast("int").alias("d"), (F.col("l_partkey") % 5 + 1).cast("int").alias("i"), (F.col("l_suppkey") % 50).cast("int").alias("ras"))
-    rows = rows.filter("m % 2 = 0").withColumn("cigar", F.concat("line", F.lit("S"), "m", F.lit("M"), "d", F.lit("D"), "i", F.lit("I7M3S")))
-    c, ras = F.col("cigar"), F.col("ras")
-    span = cigar.intervals(c, ras)
-    at = [cigar.query_position(c, ras, t) for t in (ras + (F.col("m") / 2).cast("int"), ras + F.col("m"), ras + F.col("m") + F.col("d"))]
+    rows = rows.withColumn("cigar", F.concat("line", F.lit("S"), "m", F.lit("M"), "d", F.lit("D"), "i", F.lit("I7M3S")))
+    c, ras, ops = F.col("cigar"), F.col("ras"), F.col("ops")
+    rows = rows.withColumn("ops", cigar.placed(c, ras))
+    span = cigar.intervals(c, ras, ops)
+    at = [cigar.query_position(c, ras, t, ops) for t in (ras + (F.col("m") / 2).cast("int"), ras + F.col("m"), ras + F.col("m") + F.col("d"))]
     return rows.select("l_orderkey", "line", span["qas"].alias("qas"), span["qae"].alias("qae"), span["rae"].alias("rae"), at[0].alias("at_match"), at[1].alias("at_gap"), at[2].alias("after_gap"))
 
 
@@ -236,7 +237,7 @@ def merged_by_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def merged_by_abundance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(M.merge_by_abundance(_clones(spark, sf_dir), 0.01, max_distance=2))
+    return _shown(M.merge_by_abundance(_clones(spark, sf_dir), 0.01))
 
 
 @query()

@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vdjspark.functions import cigar as C
+from vdjspark.functions.sequences import translate_codons
+from vdjspark.runtime import small, stage
 from vdjspark.sources.sequence_files import numbered
 
 
-def junctions(pairs: DataFrame, alleles: DataFrame, min_length: int = 10) -> DataFrame:
+def junctions(pairs: DataFrame, alleles: DataFrame, min_length: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """V/J alignment pairs (structs v, j) -> ordinal, seq, qual_text, v_call, j_call, v_end, j_start, scores.
 
     Dropped: unmapped V or J, reverse-complemented J, anchors that the alignment doesn't reach, and
-    junctions shorter than ``min_length``. ``alleles``: name, refpos (anchor) and seq.
+    junctions shorter than ``min_length``. ``alleles``: name, refpos (anchor) and seq. ``keep`` names
+    columns of the pairs, or of v_ref, j_ref (the alleles' refpos and seq) and v_ops, j_ops (the
+    alignments' operations), that are returned too.
     """
-    v_ref = alleles.select(F.col("name").alias("v_call"), F.col("refpos").alias("v_refpos"))
-    j_ref = alleles.select(F.col("name").alias("j_call"), F.col("refpos").alias("j_refpos"))
+    ref = F.struct("refpos", "seq")
+    v_ref = alleles.select(F.col("name").alias("v_call"), ref.alias("v_ref"))
+    j_ref = alleles.select(F.col("name").alias("j_call"), ref.alias("j_ref"))
     mapped = pairs.filter((F.col("v.FLAG").bitwiseAND(4) == 0) & (F.col("j.FLAG").bitwiseAND(4) == 0) & (F.col("j.FLAG").bitwiseAND(16) == 0))
-    rows = mapped.withColumn("v_call", F.col("v.RNAME")).withColumn("j_call", F.col("j.RNAME")).join(v_ref, "v_call").join(j_ref, "j_call")
+    rows = mapped.withColumn("v_call", F.col("v.RNAME")).withColumn("j_call", F.col("j.RNAME")).join(small(v_ref), "v_call").join(small(j_ref), "j_call")
     v_ras, j_ras = F.col("v.POS") - 1, F.col("j.POS") - 1
+    v_cigar, j_cigar = F.col("v.CIGAR"), F.col("j.CIGAR")
+    rows = rows.withColumn("v_ops", C.placed(v_cigar, v_ras)).withColumn("j_ops", C.placed(j_cigar, j_ras))
+    v_ops, j_ops = F.col("v_ops"), F.col("j_ops")
     # the J read is the V read without what V covers
     shift = F.length("v.SEQ") - F.length("j.SEQ")
-    rows = rows.withColumn("start", C.query_position(F.col("v.CIGAR"), v_ras, F.col("v_refpos") - 3))
-    rows = rows.withColumn("end", shift + C.query_position(F.col("j.CIGAR"), j_ras, F.col("j_refpos") + 3))
+    rows = rows.withColumn("start", C.query_position(v_cigar, v_ras, F.col("v_ref.refpos") - 3, v_ops))
+    rows = rows.withColumn("end", shift + C.query_position(j_cigar, j_ras, F.col("j_ref.refpos") + 3, j_ops))
     rows = rows.filter(F.col("start").isNotNull() & F.col("end").isNotNull() & (F.col("end") <= F.length("v.SEQ")) & (F.col("end") - F.col("start") >= min_length))
     size = F.col("end") - F.col("start")
     return rows.select(
@@ -32,13 +42,48 @@ def junctions(pairs: DataFrame, alleles: DataFrame, min_length: int = 10) -> Dat
         F.substring("v.QUAL", F.col("start") + 1, size).alias("qual_text"),
         "v_call",
         "j_call",
-        (C.intervals(F.col("v.CIGAR"), v_ras)["qae"] - F.col("start")).alias("v_end"),
-        (C.intervals(F.col("j.CIGAR"), j_ras)["qas"] + shift - F.col("start")).alias("j_start"),
+        (C.intervals(v_cigar, v_ras, v_ops)["qae"] - F.col("start")).alias("v_end"),
+        (C.intervals(j_cigar, j_ras, j_ops)["qas"] + shift - F.col("start")).alias("j_start"),
         F.col("v.MAPQ").alias("v_score"),
         F.col("j.MAPQ").alias("j_score"),
+        *keep,
     )
 
 
+def after_v(v: Column) -> Column:
+    """struct<seq, qual> of what a V alignment (SAM row) leaves of its read for the J aligner; empty where V is unmapped."""
+    unmapped = v["FLAG"].bitwiseAND(4) != 0
+    end = C.intervals(F.when(~unmapped, v["CIGAR"]), v["POS"] - 1)["qae"]
+    rest = lambda c: F.when(unmapped, "").otherwise(F.substring(v[c], end + 1, F.length(v[c])))
+    return F.struct(rest("SEQ").alias("seq"), rest("QUAL").alias("qual"))
+
+
+def paired_by_uid(v: DataFrame, j: DataFrame) -> DataFrame:
+    """V rows with ``uid`` and J rows whose QNAME is ``uid:name`` -> uid and structs v, j (its QNAME without the uid)."""
+    whole = F.struct(*[c for c in v.columns if c != "uid"]).alias("v")
+    head = F.substring_index("QNAME", ":", 1)
+    cut = j.withColumn("uid", head.cast("long")).withColumn("QNAME", F.substring("QNAME", F.length(head) + 2, F.length("QNAME")))
+    return v.select("uid", whole).join(cut.select("uid", F.struct(*j.columns).alias("j")), "uid")
+
+
+def template_values() -> dict[str, Column]:
+    """What a template may name, and how it is made of a clone (seq, qual, count, v_call, j_call, v_end, j_start)."""
+    aa = translate_codons(F.col("seq"))
+    return {
+        "nt_seq": F.col("seq"), "aa_seq": aa, "count": F.col("count"), "n_stop_codons": F.length(aa) - F.length(F.replace(aa, F.lit("*"))), "min_phred": F.array_min("qual"), "frame": F.length("seq") % 3,
+        "qualstr": F.array_join(F.transform("qual", lambda q: q.cast("string")), "|"), "vid": F.col("v_call"), "jid": F.col("j_call"), "ve": F.col("v_end"), "js": F.col("j_start"), "js1": F.col("j_start") + 1,
+    }
+
+
+def formatted(template: str) -> Column:
+    """A clone as text: ``%(name)s`` and its like name template_values(); ``%%`` is a percent sign."""
+    values = template_values()
+    names = re.findall(r"%\((\w+)\)", template)
+    if unknown := set(names) - set(values):
+        raise ValueError(f"unknown names {sorted(unknown)}")
+    return F.format_string(re.sub(r"%\(\w+\)", "%", template), *[values[n] for n in names])
+
+
 def best_of_first_two(rows: DataFrame, key: list[str], score: Column, order: str = "ordinal") -> DataFrame:
     """Of each key's first two rows the one of larger score; the earlier of equals.
 
@@ -55,13 +100,17 @@ def best_of_first_two(rows: DataFrame, key: list[str], score: Column, order: str
 def build(reads: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Reads (seq, qual) -> one row per key (default seq): count, orig_count, qual (largest at each position).
 
-    Reads of one key have equal bases, so counts and largest qualities hold all that the reads do.
+    Reads of one key have equal bases, so counts and largest qualities hold all that the reads do. Equal
+    reads are counted first; only keys with several different qualities are spread by position.
     """
     key = key or ["seq"]
-    counts = reads.groupBy(*key).agg(F.count("*").alias("count"))
-    at = reads.select(*key, F.posexplode("qual").alias("pos", "q")).groupBy(*key, "pos").agg(F.max("q").alias("q"))
-    quals = at.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "q"))), lambda x: x["q"]).alias("qual"))
-    return counts.join(quals, key, "left").withColumn("orig_count", F.col("count"))
+    kinds = stage(reads.groupBy(*key, "qual").agg(F.count("*").alias("n")), "kinds")
+    counts = kinds.groupBy(*key).agg(F.sum("n").alias("count"), F.count("*").alias("kinds"), F.first("qual").alias("only"))
+    several = kinds.withColumn("kinds", F.count("*").over(Window.partitionBy(*key))).filter("kinds > 1")
+    at = several.select(*key, F.posexplode("qual").alias("pos", "q")).groupBy(*key, "pos").agg(F.max("q").alias("q"))
+    quals = at.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "q"))), lambda x: x["q"]).alias("largest"))
+    qual = F.when(F.col("kinds") > 1, F.col("largest")).otherwise(F.col("only"))
+    return counts.join(quals, key, "left").select(*key, "count", qual.alias("qual"), F.col("count").alias("orig_count"))
 
 
 def frequencies(reads: DataFrame, group: list[str], offset: Column | None = None, weight: Column | None = None) -> DataFrame:

@@ -29,6 +29,22 @@ def numbered(df: DataFrame, column: str = "ordinal", cells: tuple[str, ...] = ()
     return out.withColumn(column, F.col("first_") + F.col("row_") - F.col("from_")).drop("row_", "cell_", "of_", "from_", "first_", *cells)
 
 
+def running_sum(df: DataFrame, cost: str, by: str, order: str, column: str = "spent") -> DataFrame:
+    """Adds the sum of ``cost`` over the rows of the same ``by`` up to this one, in the order of ``order``.
+
+    Rows are dealt out by ranges of (by, order) and written with their part; a part's sums start from
+    those of the parts before it, so a common value of ``by`` is not one task.
+    """
+    dealt = df.repartitionByRange(by, order).withColumn("part_", F.spark_partition_id())
+    rows = stage(dealt, "ranges")
+    sums = rows.groupBy(by, "part_").agg(F.sum(cost).alias("all_"))
+    before = F.sum("all_").over(Window.partitionBy(by).orderBy("part_")) - F.col("all_")  # a row for each part
+    firsts = stage(sums.select(F.col(by).alias("by_"), F.col("part_").alias("of_"), before.alias("before_")), "firsts")
+    inside = rows.withColumn("here_", F.sum(cost).over(Window.partitionBy("part_", by).orderBy(order)))
+    out = inside.join(small(firsts), F.col(by).eqNullSafe(F.col("by_")) & (F.col("part_") == F.col("of_")))
+    return out.withColumn(column, F.col("before_") + F.col("here_")).drop("part_", "all_", "by_", "of_", "before_", "here_")
+
+
 def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines numbered by file name and place in the file."""
     text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path_"), F.col("_metadata.file_block_start").alias("block_"))
