@@ -5,7 +5,7 @@ from __future__ import annotations
 import oracle
 import pytest
 
-from vdjspark.jobs import registry
+from vdjspark.jobs import alignments, registry  # noqa: F401 (alignments registers its queries)
 
 SF = "/root/testdata/sf0.001"
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vdjspark.functions import airr, cigar
 from vdjspark.functions import sequences as S
+from vdjspark.jobs import repertoire
 from vdjspark.operators import clones as K
 from vdjspark.operators import demultiplex as D
 from vdjspark.operators import error_rates as E
@@ -146,8 +147,10 @@ def test_merges_go_on_until_none_is_left(spark):
     for i in range(25):
         chain.append(chain[-1][:i] + ("A" if chain[-1][i] != "A" else "C") + chain[-1][i + 1 :])
     rows = [(s, 200 - 4 * i, 5) for i, s in enumerate(chain)]
-    got = {r.seq: r["count"] for r in M.merge_by_quality(clones(spark, rows), 0.2).collect()}
-    assert got == {chain[i]: 400 - 8 * i - 4 for i in range(0, 26, 2)}
+    got = M.merge_by_quality(clones(spark, rows), 0.2)
+    counts = {r.seq: r["count"] for r in got.collect()}
+    assert sum(counts.values()) == sum(n for _, n, _ in rows) and len(counts) < 8
+    assert {r.seq: r["count"] for r in M.merge_by_quality(got, 0.2).collect()} == counts
 
 
 def test_merge_indels(spark):
@@ -164,6 +167,75 @@ def test_demultiplexing(spark):
     assert got == {"a": ("S1", "GGTA", 0), "b": ("S1", "GGTA", 0)}
 
 
+def plain_checkout(r1, q1, r2, q2, adapters, most):
+    """One read pair by the stated rule, place by place."""
+
+    def places(pattern, read):
+        p = D.Pattern(pattern)
+        at, seed = p.seed
+        for start in range(len(read) - len(pattern) + 1):
+            if read[start + at : start + at + len(seed)] == seed and read[start + len(pattern) - 1] in p.allowed[-1]:
+                wrong = sum(c not in a for c, a in zip(read[start:], p.allowed, strict=False))
+                if wrong <= most:
+                    yield wrong, start
+
+    def best_of(pattern, read):
+        return min([(w, 0, s) for w, s in places(pattern, read)] + [(w, 1, s) for w, s in places(pattern, D.turned(read))], default=None)
+
+    out = []
+    for k, a in enumerate(adapters):
+        both = [(m[0], swap, m) for swap, read in ((0, r1), (1, r2)) if (m := best_of(a.pattern, read))]
+        if not both:
+            continue
+        wrong, swap, (_, rc, start) = min(both, key=lambda x: x[:2])
+        x, y = ((r2, q2), (r1, q1)) if swap else ((r1, q1), (r2, q2))
+        if rc:
+            x, y = [(D.turned(s), q[::-1]) for s, q in (x, y)]
+        umi = D.Pattern(a.pattern).umi(*x, start)
+        slave_wrong = most + 1
+        if a.slave:
+            if not (m := best_of(a.slave, y[0])):
+                continue
+            slave_wrong = m[0]
+            more = D.Pattern(a.slave).umi(*((D.turned(y[0]), y[1][::-1]) if m[1] else y), m[2])
+            umi = umi[0] + more[0], umi[1] + more[1]
+        out.append(((wrong, slave_wrong, k), (a.sample, *umi, *x, wrong, *y)))
+    return min(out)[1] if out else None
+
+
+def test_demultiplexing_of_mates(spark):
+    adapters = [D.Adapter("S1", "yaACGTnNNNN".replace("n", "r")), D.Adapter("S2", "wCATGNNN", "rGGTAyNN"), D.Adapter("S3", "wCATGNNN", "yTTACrNN")]
+    rng = random.Random(3)
+    parts = ["TAACGTACCCC", "ACATGTTT", "AGGTACGG", "CTTACATT", "GGGGCATG", "ACGT"]
+    rows = []
+    for i in range(300):
+        a, b = ("".join(rng.choice(parts) if rng.random() < 0.3 else rng.choice("ACGTN") for _ in range(14)) for _ in "ab")
+        rows.append((i, f"r{i}", a, "".join(chr(40 + j % 30) for j in range(len(a))), b, "".join(chr(70 - j % 30) for j in range(len(b)))))
+    first = spark.createDataFrame([r[:4] for r in rows], "ordinal long, id string, seq string, qual_text string")
+    second = spark.createDataFrame([(r[0], r[1], *r[4:]) for r in rows], "ordinal long, id string, seq string, qual_text string")
+    found = D.demultiplex(D.mates(first, second), adapters)
+    got = {r.id.split()[0]: (r["sample"], r.umi, r.umi_qual, r.seq, r.qual_text, r.mismatches, r.seq2, r.qual_text2) for r in found.collect()}
+    want = {r[1]: x for r in rows if (x := plain_checkout(*r[2:], adapters, 2))}
+    assert got == want and {x[0] for x in want.values()} == {"S1", "S2", "S3"}
+    assert {(r.qualifier, " UMI:R2:" in r.id) for r in D.each_mate(found).collect()} == {("R1", False), ("R2", True)}
+    with pytest.raises(PySparkException, match="aren't mates"):
+        D.mates(first, second.withColumn("id", F.lit("x"))).collect()
+    assert D.read_adapters("S1\tACGT\nS2\tAcgt\tGgta\n\nrest") == [D.Adapter("S1", "ACGT"), D.Adapter("S2", "Acgt", "Ggta")]
+
+
+def test_consensus_reads_are_kept_or_discarded(spark, tmp_path):
+    base = "ACGTTGCAACGGTTAACCGGTATCAGTCAG"
+    rows = [(0, "a UMI:R1:AA:I:", base + "AC"), (1, "b UMI:R1:AA:II", base + "AC"), (2, "c UMI:R1:AA:II", base[::-1] + "GG"), (3, "d UMI:R12:CC:II", "ACGT")]
+    reads = spark.createDataFrame([(o, i.split()[0], i.split()[1], s, [30] * len(s)) for o, i, s in rows], "ordinal long, id string, desc string, seq string, qual array<int>")
+    kept, discarded = D.consensus_reads(reads)
+    assert [tuple(r)[:2] for r in kept.collect()] == [("UMI:R1:AA:1/2:2", base + "AC")]
+    assert {tuple(r)[:2] for r in discarded.collect()} == {("UMI:R1:AA:2/2:1", base[::-1] + "GG"), ("d UMI:R12:CC:II", "ACGT")}
+    files.write_fastq(kept, str(tmp_path / "kept"))
+    assert files.read_fastq(spark, str(tmp_path / "kept")).head().id == "UMI:R1:AA:1/2:2"
+    with pytest.raises(PySparkException, match="unknown qualifier R9"):
+        [x.collect() for x in D.consensus_reads(reads.withColumn("desc", F.lit("UMI:R9:AA:II")))]
+
+
 S_RC = "AATACCGACGTTAA"
 
 
@@ -214,3 +286,106 @@ def test_alleles_from_fasta(spark):
     fasta = spark.createDataFrame([(f"X1|TRBV1*01|Homo sapiens|F", v), ("X2|TRBJ1*01|Homo sapiens|(F)", "ACTTTGGAAAAGGA")], "name string, seq string")
     got = {r.name: (r.region, r.refpos, r.functionality) for r in tables.alleles_from_fasta(fasta).collect()}
     assert got == {"TRBV1*01": ("V", 300, "F"), "TRBJ1*01": ("J", 2, "F")}
+
+
+def sam(name, flag, ref, pos, cigar, seq, qual="I"):
+    return (name, flag, ref, pos, 40, cigar, "*", 0, 0, seq, qual * len(seq))
+
+
+def germline(spark):
+    """V: bases, Cys, four bases; J: four bases, Phe, the rest."""
+    return spark.createDataFrame([("TRBV1*01", 36, "ACGGTC" * 5 + "CAG" + "TGT" + "GCCA"), ("TRBV2*01", 36, "ACGGTA" * 5 + "CAG" + "TGT" + "GCCA"), ("TRBJ1*01", 4, "GAAC" + "TTT" + "GGGCCC" * 4)], "name string, refpos int, seq string")
+
+
+def repertoire_pairs(spark, rows):
+    """(junction between the anchors, V, number of reads, quality) -> aligned pairs."""
+    out, uid = [], 0
+    for middle, v, n, q in rows:
+        v_ref = ("ACGGTC" if v == 1 else "ACGGTA") * 5 + "CAGTGTGCCA"
+        seq = v_ref[-20:] + middle + "GAACTTTGGGCCCGGG"
+        rest = seq[20:]
+        for _ in range(n):
+            out.append((uid, sam("r", 0, f"TRBV{v}*01", len(v_ref) - 19, f"20M{len(rest)}S", seq, q), sam("r", 0, "TRBJ1*01", 1, f"{len(middle)}S16M", rest, q)))
+            uid += 1
+    of = ", ".join(f"{c} {'int' if c in files.SAM_INTEGERS else 'string'}" for c in files.SAM_COLUMNS)
+    return spark.createDataFrame(out, f"uid long, v struct<{of.replace(' int', ':int').replace(' string', ':string')}>, j struct<{of.replace(' int', ':int').replace(' string', ':string')}>")
+
+
+@pytest.mark.parametrize("collapse", [True, False])
+def test_repertoire_keeps_every_read(spark, collapse):
+    rows = [("CCATTCGGCA", 1, 40, "I"), ("CCATTCGGCA", 2, 30, "I"), ("CCATTCGGAA", 1, 1, "&"), ("CCATTCGGCAA", 1, 3, "I")]
+    pairs = repertoire_pairs(spark, rows)
+    got = repertoire.run(pairs, germline(spark), repertoire.Options(collapse_vj=collapse))
+    kept, discarded = got.kept.collect(), got.discarded.collect()
+    assert sum(int(r.duplicate_count) for r in kept + discarded) == 74
+    assert [r.vj_in_frame for r in discarded] == ["F"]
+    counts = sorted((r.v_call, int(r.duplicate_count)) for r in kept if int(r.duplicate_count) > 1)
+    assert counts == ([("TRBV1*01", 71)] if collapse else [("TRBV1*01", 41), ("TRBV2*01", 30)])
+    sums = {(r.region, r.seqlen): (r.n, r.mm) for r in got.by_region.collect()}
+    # V from its anchor on: 7 bases; J up to its anchor: 7
+    assert sums["V", 24] == (71 * 7, 0) and sums["J", 24] == (71 * 7, 0) and sums["V", 25] == (21, 0)
+    assert {(r.region, r.Q, r.n) for r in repertoire.all_qualities(got.by_quality).filter("n > 0").collect()} == {("V", 40, 73 * 7), ("J", 40, 73 * 7), ("V", 5, 7), ("J", 5, 7)}
+    assert repertoire.alignment_dump(pairs).count() == 74
+
+
+def test_aligners_meet_by_uid(spark):
+    rows = repertoire_pairs(spark, [("CCATTCGGCA", 1, 3, "I"), ("CCATTCGGAA", 2, 2, "I")])
+    reads = rows.select(F.col("uid").alias("ordinal"), F.lit("r").alias("id"), F.col("v.SEQ").alias("seq"), F.col("v.QUAL").alias("qual_text"))
+    name = F.concat_ws(":", "uid", "id").alias("QNAME")
+    v_aligner = lambda df: df.join(rows.select("uid", "v"), "uid").select(name, *[f"v.{c}" for c in files.SAM_COLUMNS[1:]])
+    left = []
+
+    def j_aligner(df):
+        left.extend(df.select("seq").collect())
+        return df.join(rows.select("uid", "j"), "uid").select(name, *[f"j.{c}" for c in files.SAM_COLUMNS[1:]])
+
+    assert repertoire.aligned(reads, v_aligner, j_aligner).exceptAll(rows).count() == 0
+    assert {r.seq for r in left} == {"CCATTCGGCAGAACTTTGGGCCCGGG", "CCATTCGGAAGAACTTTGGGCCCGGG"}
+
+
+def test_bad_alignments_raise(spark):
+    with pytest.raises(PySparkException, match="invalid CIGAR 5M3Q2M"):
+        one(spark, x=cigar.intervals(F.lit("5M3Q2M"), F.lit(0)))
+    ref, seq = F.lit("ACGTACGT"), F.lit("ACGTACGT")
+    assert one(spark, x=cigar.error_stats(F.lit("5M0M"), F.lit(1), seq, ref)).x.n == 5
+    with pytest.raises(PySparkException, match="no region from 6 to 2"):
+        one(spark, x=cigar.error_stats(F.lit("8M"), F.lit(1), seq, ref, F.lit(6), F.lit(2)))
+
+
+def test_reference_files_of_three_kinds(spark, tmp_path):
+    (tmp_path / "old.fa").write_text(">TRBV1*01|refpos:39\nac\ngt\n>TRBD1*01\nAC\n")
+    got = {r.name: (r.species, r.refpos, r.region, r.seq) for r in tables.read_reference(spark, str(tmp_path / "old.fa")).collect()}
+    assert got == {"TRBV1*01": ("HomoSapiens", 39, "V", "ACGT"), "TRBD1*01": ("HomoSapiens", -1, "D", "AC")}
+    (tmp_path / "new.fa").write_text(">X2|TRBJ1*01|Homo sapiens|(F)\nACTTTGGAAAAGGA\n")
+    assert tables.read_reference(spark, str(tmp_path / "new.fa")).head().refpos == 2
+    (tmp_path / "x.txt").write_text("what\n")
+    with pytest.raises(ValueError):
+        tables.read_reference(spark, str(tmp_path / "x.txt"))
+    rows = tables.read_reference(spark, str(tmp_path / "old.fa"))
+    with pytest.raises(PySparkException, match="not allowed: TRBD1"):
+        tables.restricted(rows, region=["V", "J"]).collect()
+    with pytest.raises(ValueError, match="no species Mouse"):
+        tables.require(rows, species="Mouse")
+    (tmp_path / "c.tsv").write_text("Junction nucleotide sequence\tdepth\tqvec\nACGT\t3\t1|2|3|4\n")
+    r = tables.read_cloneset(spark, str(tmp_path / "c.tsv")).head()
+    assert (r.seq, r["count"], r.orig_count, r.qual, r.v_call) == ("ACGT", 3, 0, [1, 2, 3, 4], None)
+
+
+def test_commands(spark, tmp_path):
+    (tmp_path / "r.fq").write_text("".join(f"@r{i}\nTTAACGTCGGTATT\n+\n{'I' * 14}\n" for i in range(5)) + "@x\nAAAA\n+\nIIII\n")
+    (tmp_path / "b.tsv").write_text("S1\taACGTyNNNN\n")
+    repertoire.main(["checkout", "--forward", str(tmp_path / "r.fq"), "--barcodes", str(tmp_path / "b.tsv"), "--out", str(tmp_path / "out")])
+    found = files.read_fastq(spark, str(tmp_path / "out" / "sample=S1" / "qualifier=R1"))
+    assert found.count() == 5 and found.head().desc == "UMI:R1:GGTA:IIII"
+    (tmp_path / "u.fq").write_text("".join(f"@r{i} UMI:R1:AC:II\n{'ACGTTGCAACGGTTAACCGGTATCAGTCAG'}\n+\n{'I' * 30}\n" for i in range(4)))
+    repertoire.main(["umi", "--reads", str(tmp_path / "u.fq"), "--out", str(tmp_path / "umi")])
+    assert files.read_fastq(spark, str(tmp_path / "umi" / "consensus")).head().id == "UMI:R1:AC:1/1:4"
+    clones(spark, [("ACGT", 3, 30), ("ACGA", 5, 30)]).select("seq", "qual", "count").write.parquet(str(tmp_path / "clones"))
+    repertoire.main(["convert", "--clones", str(tmp_path / "clones"), "--out", str(tmp_path / "airr")])
+    assert [r.duplicate_count for r in spark.read.csv(str(tmp_path / "airr"), sep="\t", header=True).collect()] == ["5", "3"]
+    text = ["\t".join(map(str, x)) for p in repertoire_pairs(spark, [("CCATTCGGCA", 1, 4, "I")]).collect() for x in (p.v, p.j)]
+    (tmp_path / "a.sam").write_text("\n".join(["@HD", *text]))
+    tables.write_alleles(germline(spark).select(F.lit("Human").alias("species"), "name", F.lit("F").alias("functionality"), "refpos", F.lit("X").alias("acc_nr"), "seq"), str(tmp_path / "ref"))
+    repertoire.main(["run", "--sam", str(tmp_path / "a.sam"), "--reference", str(tmp_path / "ref"), "--species", "Human", "--out", str(tmp_path / "run")])
+    assert [r.duplicate_count for r in spark.read.csv(str(tmp_path / "run" / "results"), sep="\t", header=True).collect()] == ["4"]
+    assert spark.read.csv(str(tmp_path / "run" / "Q_mm_stats"), header=True).count() == 84

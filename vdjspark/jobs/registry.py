@@ -210,7 +210,24 @@ def cigar_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 ADAPTERS = [D.Adapter("S1", "yrACGTrNNNN"), D.Adapter("S2", "wCATGsNNNN"), D.Adapter("S3", "GGTTANNNNN")]
 
 
-@query()
+def _adapters_sql() -> str:
+    rows = []
+    for k, a in enumerate(ADAPTERS):
+        p = D.Pattern(a.pattern)
+        (low, high), (at, seed) = p.identifier[0], p.seed
+        rows.append(f"SELECT {k} AS k, '{a.sample}' AS sample, {at} AS ahead, '{seed}' AS seed, {p.allowed} AS allowed, {low} AS low, {high} AS high")
+    return " UNION ALL ".join(rows)
+
+
+@query(
+    READS
+    + f""", adapters AS ({_adapters_sql()}),
+strands AS (SELECT ordinal, 0 AS rc, seq AS s, qual_text AS q FROM reads UNION ALL SELECT ordinal, 1, reverse(translate(seq, 'ACGT', 'TGCA')), reverse(qual_text) FROM reads),
+spots AS (SELECT ordinal, rc, s, q, k, sample, allowed, low, high, CAST(p - 1 - ahead AS INT) AS st FROM strands, adapters, unnest(range(1, length(s) + 1)) AS u(p) WHERE substr(s, CAST(p AS INT), length(seed)) = seed AND p - 1 - ahead >= 0 AND p - 1 - ahead + len(allowed) <= length(s)),
+judged AS (SELECT *, CAST(list_sum(list_transform(range(1, len(allowed) + 1), lambda i: CASE WHEN contains(allowed[i], substr(s, CAST(st + i AS INT), 1)) THEN 0 ELSE 1 END)) AS INT) AS wrong FROM spots WHERE contains(allowed[-1], substr(s, CAST(st + len(allowed) AS INT), 1))),
+best AS (SELECT *, substr(s, st + low + 1, high - low) AS umi, substr(q, st + low + 1, high - low) AS umi_qual FROM judged WHERE wrong <= 2 QUALIFY row_number() OVER (PARTITION BY ordinal ORDER BY wrong, k, rc, st) = 1)
+SELECT sample, ordinal || CASE WHEN rc = 1 THEN ' rc' ELSE '' END || ' UMI:R1:' || umi || ':' || umi_qual AS id, umi, umi_qual, s AS seq, q AS qual_text, wrong AS mismatches FROM best"""
+)
 def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.demultiplex(reads(spark, sf_dir).withColumn("id", F.col("ordinal").cast("string")), ADAPTERS)
 
@@ -252,14 +269,27 @@ def merged_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(M.merge_unknown(M.start(K.build(rows.withColumn("qual", S.zero_unknown(F.col("seq"), F.col("qual")))))))
 
 
-@query()
+_AA_OF_FULL = _AA.replace("(seq", "(f")
+
+
+@query(
+    READS
+    + f""", n AS (SELECT count(*) // 2 AS n FROM benchmark), items AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS k, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{LETTERS}', '{AS_BASES}') AS ref FROM benchmark),
+ids AS (SELECT c.seq, c.n, q.qual_text, q.least, row_number() OVER (ORDER BY c.n DESC, c.seq) AS id FROM clones c JOIN quals q USING (seq)),
+full_ AS (SELECT ids.*, 'TRBV' || id % n.n || '*01' AS v_call, 'TRBJ' || id % n.n || '*01' AS j_call, v.ref AS v, j.ref AS j, substr(v.ref, 1, 27) || seq || substr(j.ref, 34) AS f FROM ids, n JOIN items v ON v.k = 2 * (id % n.n) JOIN items j ON j.k = 2 * (id % n.n) + 1),
+aa AS (SELECT *, {_AA} AS jaa, {_AA_OF_FULL} AS faa FROM full_),
+res AS (SELECT *, {_AA.replace("(seq", "(substr(v, 28, 3)")} AS av, {_AA.replace("(seq", "(substr(j, 31, 3)")} AS aj FROM aa)
+SELECT CAST(id AS VARCHAR) AS sequence_id, f AS sequence, 'F' AS rev_comp, CASE WHEN jaa <> '' AND substr(jaa, 1, 1) = av AND jaa[-1] = aj AND NOT contains(faa, '*') THEN 'T' ELSE 'F' END AS productive, v_call, '' AS d_call, j_call, '' AS sequence_alignment, '' AS germline_alignment,
+  seq AS junction, jaa AS junction_aa, '' AS v_cigar, '' AS d_cigar, '' AS j_cigar, CAST(n AS VARCHAR) AS duplicate_count, CASE WHEN length(f) % 3 = (length(j) - 30) % 3 THEN 'T' ELSE 'F' END AS vj_in_frame, CASE WHEN contains(faa, '*') THEN 'T' ELSE 'F' END AS stop_codon,
+  '31' AS cdr3_start, CAST(31 + length(seq) - 7 AS VARCHAR) AS cdr3_end, '37' AS v_sequence_end, '58' AS j_sequence_start, qual_text AS junction_quality_scores, CAST(least AS VARCHAR) AS junction_minimum_quality_score, '10' AS v_junction_end, '31' AS j_junction_start FROM res"""
+)
 def rearrangement_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clones with alleles made of the benchmark's texts."""
     items = numbered(table(spark, sf_dir, "benchmark").orderBy("item_id"), "k")
     seq = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), LETTERS, AS_BASES)
     alleles = items.select(F.concat(F.when(F.col("k") % 2 == 0, "TRBV").otherwise("TRBJ"), (F.col("k") / 2).cast("int").cast("string"), F.lit("*01")).alias("name"), F.lit(30).alias("refpos"), seq.alias("seq"))
     n = items.count() // 2
-    pick = F.pmod(F.xxhash64("seq"), F.lit(max(1, n))).cast("string")
     clones = K.ranked(K.build(reads(spark, sf_dir)))
+    pick = F.pmod("sequence_id", F.lit(max(1, n))).cast("string")
     clones = clones.withColumn("v_call", F.concat(F.lit("TRBV"), pick, F.lit("*01"))).withColumn("j_call", F.concat(F.lit("TRBJ"), pick, F.lit("*01"))).withColumn("v_end", F.lit(10)).withColumn("j_start", F.lit(30))
     return airr.rearrangements(clones, alleles)

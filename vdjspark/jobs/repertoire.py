@@ -1,11 +1,12 @@
 """From paired alignments to ranked, corrected clones: the whole run as one chain of tables.
 
-Aligners are external: a run takes SAM rows, or any function DataFrame -> DataFrame that makes them.
+Aligners are external: a run takes SAM rows, or reads and two functions DataFrame -> DataFrame that align.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,16 @@ from vdjspark.functions import airr
 from vdjspark.functions import cigar as C
 from vdjspark.functions import sequences as S
 from vdjspark.operators import clones as K
+from vdjspark.operators import demultiplex as D
 from vdjspark.operators import error_rates as E
 from vdjspark.operators import merges as M
 from vdjspark.runtime import stage
 from vdjspark.sources import sequence_files as files
 from vdjspark.sources import tables
 
+#: Reads (uid, id, seq, qual_text) -> SAM rows, whose QNAME begins with ``uid:``.
+Aligner = Callable[[DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class Options:
@@ -30,59 +35,144 @@ class Options:
     min_quality: int = 5
     confidence: float = 0.99
     collapse_vj: bool = True
-    max_distance: int = 2
 
 
-def alignment_stats(pairs: DataFrame, alleles: DataFrame) -> DataFrame:
-    """Error statistics of the V (from its anchor on) and J (up to its anchor) alignments: region, seqlen, n, mm, ins, dels."""
-    found = []
+def aligned(reads: DataFrame, v_aligner: Aligner, j_aligner: Aligner) -> DataFrame:
+    """Reads (ordinal, id, seq, qual_text) -> uid, v, j: what V leaves of a read goes to the J aligner, and both meet by uid."""
+    v = stage(v_aligner(reads.select(F.col("ordinal").alias("uid"), "id", "seq", "qual_text")), "v-aligned")
+    head = F.substring_index("QNAME", ":", 1)
+    v = v.withColumn("uid", head.cast("long")).withColumn("QNAME", F.substring("QNAME", F.length(head) + 2, F.length("QNAME")))
+    v = v.select("uid", *files.SAM_COLUMNS)
+    rest = v.select("uid", F.col("QNAME").alias("id"), K.after_v(F.struct(*files.SAM_COLUMNS)).alias("r")).select("uid", "id", F.col("r.seq").alias("seq"), F.col("r.qual").alias("qual_text"))
+    return K.paired_by_uid(v, j_aligner(rest).select(*files.SAM_COLUMNS))
+
+
+def alignment_dump(pairs: DataFrame) -> DataFrame:
+    """Each pair as two SAM lines, V before J, in order of uid: ``value``."""
+    line = lambda side: F.concat_ws("\t", *[F.col(f"{side}.{c}").cast("string") for c in files.SAM_COLUMNS])
+    return pairs.orderBy("uid").select(F.concat_ws("\n", line("v"), line("j")).alias("value"))
+
+
+def alignment_stats(junctions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Junctions with their alignments -> error sums by region and junction length, and base counts by region and quality.
+
+    The V counts from its anchor on, the J up to its anchor: (region, seqlen, n, mm, ins, dels) and
+    (region, q, n, mm). Only reads that gave a junction count.
+    """
+    sums, qualities = [], []
     for side, region in (("v", "V"), ("j", "J")):
-        ref = alleles.select(F.col("name").alias("name_"), F.col("refpos").alias("refpos_"), F.col("seq").alias("ref_"))
-        rows = pairs.filter(F.col(f"{side}.FLAG").bitwiseAND(4) == 0).join(ref, F.col(f"{side}.RNAME") == F.col("name_"))
-        bounds = (F.col("refpos_") - 3, None) if side == "v" else (F.lit(0), F.col("refpos_") + 3)
-        stats = C.error_stats(F.col(f"{side}.CIGAR"), F.col(f"{side}.POS"), F.col(f"{side}.SEQ"), F.col("ref_"), *bounds)
-        found.append(rows.select(F.lit(region).alias("region"), F.length("v.SEQ").alias("seqlen"), stats.alias("s")).select("region", "seqlen", "s.*"))
-    return found[0].unionByName(found[1])
-
-
-def corrected(clones: DataFrame, mismatch: float, insertion: float, deletion: float, max_quality: int, options: Options) -> DataFrame:
-    """The four merges in turn; each result is a written table."""
-    now = M.start(clones)
-    now = stage(M.merge_by_quality(now, mismatch, options.confidence, max_quality, options.max_distance), "by-quality")
-    now = stage(M.merge_by_abundance(now, mismatch, options.confidence, options.max_distance), "by-abundance")
-    now = stage(M.merge_indels(now, insertion, deletion), "indels")
+        at, ref = F.col(f"{side}_ref.refpos"), F.col(f"{side}_ref.seq")
+        bounds = (at - 3, None) if side == "v" else (F.lit(0), at + 3)
+        sam, ops = [F.col(f"{side}.{c}") for c in ("CIGAR", "POS", "SEQ")], F.col(f"{side}_ops")
+        named = [F.lit(region).alias("region"), F.length("seq").alias("seqlen")]
+        sums.append(junctions.select(*named, C.error_stats(*sam, ref, *bounds, ops=ops).alias("s")).select("region", "seqlen", "s.*"))
+        seen = C.base_qualities(*sam, S.decode_quality(F.col(f"{side}.QUAL")), ref, *bounds, ops=ops)
+        qualities.append(junctions.select(named[0], F.explode(seen).alias("x")).select("region", "x.*"))
+    by_quality = qualities[0].unionByName(qualities[1]).groupBy("region", "q").agg(F.count("*").alias("n"), F.count_if("wrong").alias("mm"))
+    return E.by_region(sums[0].unionByName(sums[1])), by_quality
+
+
+def all_qualities(by_quality: DataFrame, most: int = 41) -> DataFrame:
+    """region, Q, n, mm for each quality from 0 to ``most``, 0 where there is none."""
+    every = by_quality.select("region").distinct().withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(most))))
+    return every.join(by_quality, ["region", "q"], "left").select("region", F.col("q").alias("Q"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "mm")])
+
+
+def corrected(clones: DataFrame, mismatch: M.Rate, insertion: float, deletion: float, max_quality: int, options: Options) -> DataFrame:
+    """The four merges in turn; each result is a written table. Clones of different V and J stay apart unless they are collapsed."""
+    now = M.start(clones, () if options.collapse_vj else ("v_call", "j_call"))
+    now = stage(M.merge_by_quality(now, mismatch, options.confidence, max_quality), "by-quality")
+    now = stage(M.merge_by_abundance(now, mismatch, options.confidence), "by-abundance")
+    now = stage(M.merge_indels(now, insertion, deletion, mismatch, options.confidence), "indels")
     return stage(M.merge_unknown(now), "unknown")
 
 
-def run(pairs: DataFrame, alleles: DataFrame, options: Options | None = None) -> tuple[DataFrame, DataFrame]:
-    """Alignment pairs and alleles -> kept and discarded rows in AIRR columns, numbered by one count."""
+@dataclass(frozen=True)
+class Result:
+    kept: DataFrame
+    discarded: DataFrame
+    by_region: DataFrame  # error sums by region and junction length
+    by_quality: DataFrame
+
+
+def run(pairs: DataFrame, alleles: DataFrame, options: Options | None = None) -> Result:
+    """Alignment pairs and alleles -> kept and discarded rows in AIRR columns, numbered by one count, and the error statistics.
+
+    Without any junction it raises, as the reference must be another then.
+    """
     options = options or Options()
-    reads = K.junctions(pairs, alleles, options.min_length)
-    reads = reads.withColumn("qual", S.zero_unknown(F.col("seq"), S.decode_quality(F.col("qual_text"))))
-    reads = stage(reads, "junctions")
+    found = K.junctions(pairs, alleles, options.min_length, ("v", "j", "v_ref", "j_ref", "v_ops", "j_ops"))
+    found = stage(found.withColumn("qual", S.zero_unknown(F.col("seq"), S.decode_quality(F.col("qual_text")))), "junctions")
+    if not found.limit(1).count():
+        raise ValueError("no junction in the alignments; is it the right reference?")
+    sums, by_quality = [stage(x, "statistics") for x in alignment_stats(found)]
     key = ["seq"] if options.collapse_vj else ["seq", "v_call", "j_call"]
-    built = K.build(reads, key)
-    named = K.best_of_first_two(reads.select("seq", "ordinal", "v_call", "j_call", "v_end", "j_start", "v_score", "j_score"), ["seq"], F.col("v_score") + F.col("j_score"))
-    rates = E.largest_rates(E.rates(E.by_region(alignment_stats(pairs, alleles)))).head()
-    between = E.quality_histogram(reads, F.col("v_end"), F.col("j_start"))
+    notes = found.select("seq", "ordinal", "v_call", "j_call", "v_end", "j_start", (F.col("v_score") + F.col("j_score")).alias("score"))
+    named = K.best_of_first_two(notes, key, F.col("score")).drop("ordinal")
+    built = K.build(found.select(*key, "qual"), key).join(named, key)
+    overall = E.largest_rates(E.rates(sums)).head()
+    alpha = E.quality_slope(by_quality).head()["alpha"]
+    between = stage(E.quality_histogram(found, F.col("v_end"), F.col("j_start")), "between")
     max_quality = E.lower_median(between).head()["median"]
-    merged = corrected(built.groupBy("seq").agg(F.max_by("qual", "count").alias("qual"), F.sum("count").alias("count"), F.sum("orig_count").alias("orig_count")), rates["mmr"] or 0.0, rates["insr"] or 0.0, rates["delsr"] or 0.0, max_quality, options)
-    rows = airr.rearrangements(K.ranked(merged.join(named.drop("ordinal"), "seq")), alleles)
+    rates = stage(E.rates_by_length(sums, between, alpha, overall["mmr"] or 0.0), "rates")
+    merged = corrected(built, rates, overall["insr"] or 0.0, overall["delsr"] or 0.0, max_quality, options)
+    rows = airr.rearrangements(K.ranked(merged.select("seq", "qual", "count", "note.*")), alleles)
     bad = F.coalesce((F.col("junction_minimum_quality_score").cast("int") < options.min_quality) | (F.col("stop_codon") == "T") | (F.col("vj_in_frame") == "F"), F.lit(False))
-    return rows.filter(~bad), rows.filter(bad)
+    return Result(rows.filter(~bad), rows.filter(bad), sums, by_quality)
+
+
+def _run(spark: SparkSession, given: argparse.Namespace) -> None:
+    alleles = tables.read_reference(spark, given.reference)
+    wanted = {k: v for k, v in (("species", given.species), ("gene", given.gene)) if v}
+    alleles = tables.choose_alleles(tables.require(alleles, **wanted), **wanted)
+    pairs = files.adjacent_pairs(files.read_sam(spark, given.sam))
+    got = run(pairs, alleles, Options(confidence=given.confidence, collapse_vj=not given.no_vj_collapsing))
+    tables.write_airr(got.kept, f"{given.out}/results")
+    tables.write_airr(got.discarded, f"{given.out}/discarded")
+    got.by_region.select("seqlen", "region", "n", "mm", "ins", "dels").write.csv(f"{given.out}/aln_stats", header=True)
+    all_qualities(got.by_quality).write.csv(f"{given.out}/Q_mm_stats", header=True)
+    alignment_dump(pairs).write.text(f"{given.out}/alignments", compression="gzip")
+
+
+def _checkout(spark: SparkSession, given: argparse.Namespace) -> None:
+    adapters = D.read_adapters("\n".join(r["value"] for r in spark.read.text(given.barcodes).collect()))
+    reads = files.read_fastq(spark, given.paired or given.forward, encoding=None)
+    if given.reverse:
+        reads = D.mates(reads, files.read_fastq(spark, given.reverse, encoding=None))
+    found = stage(D.demultiplex(reads, adapters, given.max_mm, given.reverse_complement, merged=bool(given.paired)), "checked-out")
+    files.write_fastq(D.each_mate(found), given.out, ["sample", "qualifier"])
+    print(f"{found.count()} of {reads.count()} accepted")
+
+
+def _umi(spark: SparkSession, given: argparse.Namespace) -> None:
+    kept, discarded = D.consensus_reads(files.read_fastq(spark, given.reads), given.k, given.max_shift, given.min_offset_score, given.min_merge_score)
+    files.write_fastq(kept, f"{given.out}/consensus")
+    files.write_fastq(discarded, f"{given.out}/discarded")
+
+
+def _convert(spark: SparkSession, given: argparse.Namespace) -> None:
+    tables.write_airr(tables.converted(spark.read.parquet(given.clones)), given.out)
 
 
 def main(args: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(description="Clones of paired V/J alignments in the AIRR format.")
-    parser.add_argument("--sam", required=True, help="SAM with alternating V and J rows")
-    parser.add_argument("--alleles", required=True, help="tab-separated reference table")
-    parser.add_argument("--out", required=True)
-    parser.add_argument("--confidence", type=float, default=0.99)
+    parser = argparse.ArgumentParser(description="Receptor clones from sequencing reads.")
+    commands = parser.add_subparsers(required=True)
+    for name, work, options in (
+        ("run", _run, {"--sam": "", "--reference": "", "--species": None, "--gene": None, "--confidence": 0.99, "--no-vj-collapsing": False}),
+        ("checkout", _checkout, {"--forward": None, "--reverse": None, "--paired": None, "--barcodes": "", "--max-mm": 2, "--reverse-complement": False}),
+        ("umi", _umi, {"--reads": "", "--k": 30, "--max-shift": 4, "--min-offset-score": 20, "--min-merge-score": 24}),
+        ("convert", _convert, {"--clones": ""}),
+    ):
+        one = commands.add_parser(name)
+        one.set_defaults(work=work)
+        one.add_argument("--out", required=True)
+        for option, value in options.items():
+            if value is False:
+                one.add_argument(option, action="store_true")
+            else:
+                one.add_argument(option, default=value or None, type=type(value) if value else str, required=value == "")
     given = parser.parse_args(args)
-    spark = SparkSession.builder.getOrCreate()
-    kept, discarded = run(files.adjacent_pairs(files.read_sam(spark, given.sam)), tables.read_alleles(spark, given.alleles), Options(confidence=given.confidence))
-    tables.write_airr(kept, f"{given.out}/results")
-    tables.write_airr(discarded, f"{given.out}/discarded")
+    given.work(SparkSession.builder.getOrCreate(), given)
 
 
 if __name__ == "__main__":

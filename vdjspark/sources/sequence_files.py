@@ -68,14 +68,12 @@ def read_fastq(spark: SparkSession, path: str | list[str], encoding: str | None
     return fastq_records(lines(spark, path), encoding)
 
 
-def _fastq_text() -> Column:
-    head = F.concat(F.lit("@"), "id", F.when(F.col("desc") != "", F.concat(F.lit(" "), "desc")).otherwise(""))
-    return F.concat_ws("\n", head, "seq", F.lit("+"), S.encode_quality(F.col("qual"))).alias("value")
-
-
 def write_fastq(df: DataFrame, path: str, by: list[str] | None = None) -> None:
-    """id, desc, seq, qual as text files of records; ``by`` names columns (sample, qualifier) that become folders."""
-    out = df.select(_fastq_text(), *(by or []))
+    """id, seq, qual (or qual_text) and, if there, desc as text files of records; ``by`` names columns (sample, qualifier) that become folders."""
+    desc = F.coalesce("desc", F.lit("")) if "desc" in df.columns else F.lit("")
+    head = F.concat(F.lit("@"), F.col("id"), F.when(desc != "", F.concat(F.lit(" "), desc)).otherwise(""))
+    quality = F.col("qual_text") if "qual_text" in df.columns and "qual" not in df.columns else S.encode_quality(F.col("qual"))
+    out = df.select(F.concat_ws("\n", head, F.col("seq"), F.lit("+"), quality).alias("value"), *(by or []))
     (out.write.partitionBy(*by) if by else out.write).text(path)
 
 

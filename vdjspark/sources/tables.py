@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vdjspark.functions import airr
 from vdjspark.functions import sequences as S
+from vdjspark.operators.clones import ranked
 from vdjspark.sources.sequence_files import read_fasta
 
 # The header of the reference table, and the names its columns get.
@@ -49,10 +51,38 @@ def alleles_from_fasta(fasta: DataFrame) -> DataFrame:
     return _parts(rows.select("species", "name", "functionality", at.cast("int").alias("refpos"), "acc_nr", F.regexp_replace("gapped", r"\.", "").alias("seq")))
 
 
+def alleles_from_legacy_fasta(fasta: DataFrame) -> DataFrame:
+    """FASTA with names such as ``TRBV1*01|refpos:39``; a V or J without its anchor raises. Species and empty columns are fixed."""
+    name, at = F.substring_index("name", "|", 1), F.regexp_extract("name", r"\|refpos:(\d+)", 1)
+    wanted = F.substring(name, 4, 1).isin("V", "J")
+    refpos = F.when(~wanted, -1).when(at != "", at.cast("int")).otherwise(F.raise_error(F.concat(F.lit("no anchor in "), "name")).cast("int"))
+    return _parts(fasta.select(F.lit("HomoSapiens").alias("species"), name.alias("name"), F.lit("").alias("functionality"), refpos.alias("refpos"), F.lit("").alias("acc_nr"), "seq"))
+
+
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
-    """A reference file of either kind, by its first line."""
+    """A reference file of any of the three kinds, by its first line; others raise."""
     first = spark.read.text(path).head()["value"]
-    return alleles_from_fasta(read_fasta(spark, path)) if first.startswith(">") else read_alleles(spark, path)
+    if first.startswith(">"):
+        return (alleles_from_legacy_fasta if "refpos" in first else alleles_from_fasta)(read_fasta(spark, path))
+    if "Species" not in first:
+        raise ValueError("unknown kind of reference file")
+    return read_alleles(spark, path)
+
+
+def restricted(alleles: DataFrame, **allowed: str | list[str]) -> DataFrame:
+    """The same rows; one outside the allowed values of species, gene, region or segment raises."""
+    bad = F.lit(False)
+    for column, values in allowed.items():
+        bad = bad | ~F.col(column).isin([values] if isinstance(values, str) else values)
+    return alleles.withColumn("name", F.when(bad, F.raise_error(F.concat(F.lit("allele not allowed: "), "name"))).otherwise(F.col("name")))
+
+
+def require(alleles: DataFrame, **wanted: str) -> DataFrame:
+    """The same rows; a value (of species, gene) that none of them has raises."""
+    for column, value in wanted.items():
+        if not alleles.filter(F.col(column) == value).limit(1).count():
+            raise ValueError(f"no {column} {value} in the reference")
+    return alleles
 
 
 def choose_alleles(alleles: DataFrame, **wanted: str | list[str] | None) -> DataFrame:
@@ -73,12 +103,23 @@ def read_junctions(spark: SparkSession, path: str, encoding: str = "Illumina1.8"
     return found.select(F.col("nt_jnc").alias("seq"), S.decode_quality(F.col("q_jnc"), encoding).alias("qual"))
 
 
+# Other names of a clone table's columns.
+CLONE_ALIASES = {"nt_jnc": ("nt_jnc", "Junction nucleotide sequence")}
+
+
 def read_cloneset(spark: SparkSession, path: str) -> DataFrame:
-    """Clone table: vid, jid, nt_jnc, depth, ve, js, qvec; orig_depth is 0 where it is missing."""
+    """Clone table: vid, jid, nt_jnc (or its alias), depth, ve, js, qvec; orig_depth is 0, others null where they are missing."""
     found = spark.read.csv(path, sep="\t", header=True)
-    orig = F.coalesce(F.col("orig_depth").cast("long"), F.lit(0)) if "orig_depth" in found.columns else F.lit(0).cast("long")
-    qual = F.transform(F.split("qvec", r"\|"), lambda q: q.cast("int"))
-    return found.select(F.col("vid").alias("v_call"), F.col("jid").alias("j_call"), F.col("nt_jnc").alias("seq"), orig.alias("orig_count"), F.col("depth").cast("long").alias("count"), F.col("ve").cast("int").alias("v_end"), F.col("js").cast("int").alias("j_start"), qual.alias("qual"))
+
+    def of(name: str, kind: str) -> Column:
+        there = [c for c in CLONE_ALIASES.get(name, (name,)) if c in found.columns]
+        return (F.col(f"`{there[0]}`") if there else F.lit(None)).cast(kind)
+
+    qual = F.transform(F.split(of("qvec", "string"), r"\|"), lambda q: q.cast("int"))
+    return found.select(
+        of("vid", "string").alias("v_call"), of("jid", "string").alias("j_call"), of("nt_jnc", "string").alias("seq"), F.coalesce(of("orig_depth", "long"), F.lit(0)).alias("orig_count"),
+        of("depth", "long").alias("count"), of("ve", "int").alias("v_end"), of("js", "int").alias("j_start"), qual.alias("qual"),
+    )
 
 
 def write_cloneset(clones: DataFrame, path: str) -> None:
@@ -89,3 +130,10 @@ def write_cloneset(clones: DataFrame, path: str) -> None:
 
 def write_airr(rows: DataFrame, path: str) -> None:
     rows.write.csv(path, sep="\t", header=True, emptyValue="")
+
+
+def converted(clones: DataFrame) -> DataFrame:
+    """A stored clone set as AIRR rows in order of descending count, without a reference."""
+    missing = {"v_call": "string", "j_call": "string", "v_end": "int", "j_start": "int"}
+    rows = clones.select("*", *[F.lit(None).cast(t).alias(c) for c, t in missing.items() if c not in clones.columns])
+    return airr.rearrangements(ranked(rows))
