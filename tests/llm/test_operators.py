@@ -275,10 +275,17 @@ def test_training_order_is_a_permutation_and_decodes(docs, empty, tmp_path, spar
         ids = np.concatenate([np.frombuffer(r.tokens, "<u2")[: r.n_tokens] for r in mine]).tolist()
         assert encode.encoding.decode(ids) == unique[doc_id] and ids == encode.encoding.encode_ordinary(unique[doc_id])
     assert all(r.shard == r.slot // 32 and r.offset == r.slot % 32 * 128 and len(r.tokens) == 128 for r in rows)
-    training_order.write_shards(placed, str(tmp_path / "out"))
-    read = training_order.read_from(spark, str(tmp_path / "out"), 20, 30, 32).collect()
-    assert [r.slot for r in read] == list(range(20, 50))
+    out = (tmp_path / "out").as_uri()
+    for _ in range(2):  # a repeated run replaces each shard by the same
+        shards = {r.shard: (r.records, r.stride) for r in training_order.write_shards(placed, out).collect()}
+    assert shards == {s: (min(32, len(rows) - 32 * s), 128) for s in range(-(-len(rows) // 32))}
+    by_slot = {r.slot: r.tokens for r in rows}
+    for s, (n, stride) in shards.items():
+        assert (tmp_path / "out" / f"shard-{s}.bin").read_bytes() == b"".join(by_slot[32 * s + i] for i in range(n)) and stride == 128
+    read = training_order.read_from(spark, out, 20, 30, 32).collect()
+    assert [(r.slot, r.tokens) for r in read] == [(i, by_slot[i]) for i in range(20, 50)]
     assert training_order.materialise(empty).count() == 0
+    assert training_order.write_shards(training_order.materialise(empty), (tmp_path / "none").as_uri()).count() == 0
 
 
 def test_slots_hold_when_staged_files_are_split_anew(docs, spark):
@@ -402,3 +409,9 @@ def test_resampling_keeps_a_tone():
 
 def test_segments_have_hysteresis():
     assert media.segments(np.array([0, 0, 1, 5, 1, 0, 1, 0, 0, 0], float), high=1.0, low=0.1) == [(2, 5)]
+
+
+def test_empty_tables_give_no_rows(empty):
+    groups = jaccard.group_documents(empty, n=3, num=90, den=100)
+    for found in (repeats.dedup_bytes(empty), repeats.dedup_words(empty), groups, jaccard.one_of_each(empty), mixing.mix(empty), mixing.repeated(empty)):
+        assert found.count() == 0

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 from collections import Counter
 
+import oracle
+import pytest
+
 from vdjspark.llm import queries
 from vdjspark.runtime import table
 
@@ -30,3 +33,8 @@ def test_every_query_returns_a_row_per_document(spark):
     for name, f in queries.QUERIES.items():
         rows = f(spark, SF).count()
         assert rows >= n if name.startswith("op9") else rows == n, name
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_rows_match_sql(spark, name):
+    assert oracle.same(queries.QUERIES[name](spark, SF).toPandas(), oracle.by_sql(queries.ORACLE[name], SF))

@@ -25,7 +25,7 @@ def _stars(edges: DataFrame) -> bool:
     return not seen.filter("hangs > 1 or (hangs > 0 and holds > 0)").limit(1).count()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """edges (a, b: long) -> node, root: for every node of an edge, the least node it is connected with.
 
     Each round hangs every node's larger neighbours, then its smaller ones, on the least; the edges
@@ -34,9 +34,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     now, first = edges.filter("a != b"), True
-    for _ in range(rounds):
-        if _stars(now):
-            break
+    while not _stars(now):
         # each node's larger neighbours go to the least of it and its neighbours
         both, least = _with_least(now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))))
         large = both.filter("b > a").select(F.col("b").alias("a"), F.least("a", "low").alias("b")).distinct()

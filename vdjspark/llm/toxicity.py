@@ -64,12 +64,14 @@ def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, max_terms: int = 2000, least_weight: float = 3.0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, max_terms: int = 2000, least_weight: float = 3.0, word_lengths: tuple[int, int] = (3, 40), max_exceptions: int = 500) -> Model:
     """A model from labelled documents outside the held-out fold.
 
     At most about ``fit_rows`` labelled rows are used, chosen by a hash of doc_id; the lexicon keeps the
-    ``max_terms`` most frequent terms. Both bound what reaches the driver. Null texts, ids and labels
-    are left out. Without both classes the model finds nothing.
+    ``max_terms`` most frequent terms and the ``max_exceptions`` most frequent learned phrases. These
+    bound what reaches the driver. Words whose length is outside ``word_lengths`` become no terms of the
+    lexicon; scoring reads every word. Null texts, ids and labels are left out. Without both classes the
+    model finds nothing.
     """
     marked = labels.select(F.col("doc_id").alias("labelled"), F.col("toxic").cast("int").alias("toxic")).dropna().filter(~held_out(F.col("labelled"))).dropDuplicates(["labelled"])
     share = min(1.0, fit_rows / max(1, marked.count()))
@@ -85,7 +87,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, max_terms:
         for batch in batches:
             seen = {0: Counter(), 1: Counter()}
             for text, label in zip(batch["text"], batch["toxic"], strict=True):
-                seen[int(label == 1)].update({w for w in folded(text).split() if 3 <= len(w) <= 40})
+                seen[int(label == 1)].update({w for w in folded(text).split() if word_lengths[0] <= len(w) <= word_lengths[1]})
             yield pd.DataFrame([(w, seen[1][w], seen[0][w]) for w in {*seen[0], *seen[1]}], columns=["word", "t", "c"])
 
     words = rows.mapInPandas(word_counts, "word string, t long, c long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
@@ -105,11 +107,11 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, max_terms:
         if not any(row["term"][:k] in kept and kept[row["term"][:k]] >= row["weight"] - 1.0 for k in range(2, len(row["term"]))):
             kept[row["term"]] = row["weight"]
     model = Model(terms=kept)
-    model.exceptions = _exceptions(rows, model)
+    model.exceptions = _exceptions(rows, model, max_exceptions)
     return _fitted(rows, model)
 
 
-def _exceptions(rows: DataFrame, model: Model, least: int = 3) -> dict[str, float]:
+def _exceptions(rows: DataFrame, model: Model, most: int, least: int = 3) -> dict[str, float]:
     """Phrases of a term's word and the next word that clean documents hold ``least`` times and toxic ones never."""
     stems = tuple(model.terms)
 
@@ -133,7 +135,7 @@ def _exceptions(rows: DataFrame, model: Model, least: int = 3) -> dict[str, floa
     found = {}
     if stems:
         counted = rows.mapInPandas(work, "phrase string, c long, t long").groupBy("phrase").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
-        learned = [r["phrase"] for r in counted.filter((F.col("c") >= least) & (F.col("t") == 0)).orderBy(F.desc("c"), "phrase").limit(500).collect()]
+        learned = [r["phrase"] for r in counted.filter((F.col("c") >= least) & (F.col("t") == 0)).orderBy(F.desc("c"), "phrase").limit(most).collect()]
         found = {f" {p} ": w for p in (*EXCEPTIONS, *learned) if (w := of(p)) < 0}
     return found
 

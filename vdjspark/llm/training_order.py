@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how this vocabulary's pre-tokenizer splits text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ROUNDS = 6
+PER_SHARD = 1 << 16
 
 _SPACES = re.compile(r"\s ")
 _encoders: dict[int, Encoder] = {}
@@ -128,14 +131,13 @@ def sequences(docs: DataFrame, vocabulary: bytes, length: int) -> DataFrame:
     return chosen.mapInPandas(work, "doc_id long, seq int, n_tokens int, tokens binary")
 
 
-def materialise(docs: DataFrame, key: int = 20_240_229, length: int = 256, per_shard: int = 1 << 16, vocabulary: str = VOCABULARY) -> DataFrame:
+def materialise(docs: DataFrame, key: int = 20_240_229, length: int = 256, per_shard: int = PER_SHARD, vocabulary: str = VOCABULARY) -> DataFrame:
     """Documents -> slot, shard, offset (bytes in the shard), doc_id, seq, n_tokens, tokens.
 
     Null and empty texts are one sequence of end marks. Equal rows have sequences and slots of their
-    own. An empty table gives no rows. Rows are dealt by shard and sorted by slot within it. The
-    row id is written with the staged sequences, so slots don't depend on how the table is split
-    when it is read. ``offset`` is a record's place in a shard of bare records; the Parquet shards that
-    write_shards() makes are read by slot, not by offset.
+    own. An empty table gives no rows. Each shard lies whole in a partition, sorted by slot. The row id
+    is written with the staged sequences, so slots don't depend on how the table is split when it is
+    read. ``offset`` is a record's place in the file that write_shards() makes of its shard.
     """
     spark = docs.sparkSession
     made = sequences(docs, read_vocabulary(spark, vocabulary), length).withColumn("row", F.monotonically_increasing_id())
@@ -149,16 +151,67 @@ def materialise(docs: DataFrame, key: int = 20_240_229, length: int = 256, per_s
     placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("int"))
     placed = placed.withColumn("offset", (F.col("slot") % per_shard) * F.octet_length("tokens"))
     shards = max(1, -(-total // per_shard))
-    dealt = placed.repartitionByRange(max(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), "slot").sortWithinPartitions("slot")
+    dealt = placed.repartitionByRange(shards, "shard").sortWithinPartitions("slot")
     return dealt.select("slot", "shard", "offset", "doc_id", "seq", "n_tokens", "tokens")
 
 
-def write_shards(placed: DataFrame, path: str) -> None:
-    """Shards as folders shard=N of Parquet files whose rows are in order of slots; written by task commits."""
-    placed.write.partitionBy("shard").parquet(path)
+def write_shards(placed: DataFrame, path: str) -> DataFrame:
+    """Write each shard as one file of bare records, shard-N.bin: shard, records, stride (bytes of a record).
 
+    ``placed`` is materialise()'s result, whose shards lie whole and in order in a partition; a gap in the
+    slots raises. A task streams a shard to a file of its own and renames it when it is complete, so a
+    repeated or lost task leaves no part of a shard; records are the same on every run. ``path`` is a URI
+    that the executors share and pyarrow opens (file, hdfs, s3, gs). The list of shards is written last, as
+    Parquet under ``path``/shards, and returned.
+    """
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = FileSystem.from_uri(path)
+        store.create_dir(base)
+        done, out, now = [], None, None
+
+        def close() -> None:
+            out.close()
+            store.move(now["own"], f"{base}/shard-{now['shard']}.bin")
+            done.append((now["shard"], now["records"], now["stride"]))
 
-def read_from(spark: SparkSession, path: str, slot: int, n: int, per_shard: int = 1 << 16) -> DataFrame:
-    """n records from a slot on, in order: only their shards' folders are listed in the scan."""
-    shards = spark.read.parquet(path).filter(F.col("shard").between(slot // per_shard, (slot + n - 1) // per_shard))
-    return shards.filter((F.col("slot") >= slot) & (F.col("slot") < slot + n)).orderBy("slot")
+        for batch in batches:
+            for shard, rows in batch.groupby("shard", sort=False):
+                if now is None or now["shard"] != shard:
+                    if out:
+                        close()
+                    now = {"shard": shard, "own": f"{base}/.shard-{shard}-{uuid.uuid4().hex}", "records": 0, "stride": len(rows["tokens"].iloc[0]), "next": rows["slot"].iloc[0]}
+                    out = store.open_output_stream(now["own"])
+                if not (rows["slot"].to_numpy() == now["next"] + np.arange(len(rows))).all():
+                    raise ValueError(f"shard {shard} has a gap")
+                out.write(b"".join(rows["tokens"]))
+                now["records"] += len(rows)
+                now["next"] += len(rows)
+        if out:
+            close()
+            yield pd.DataFrame(done, columns=["shard", "records", "stride"])
+
+    shards = placed.select("slot", "shard", "tokens").mapInPandas(work, "shard int, records long, stride long")
+    shards.write.mode("overwrite").parquet(f"{path}/shards")
+    return placed.sparkSession.read.parquet(f"{path}/shards")
+
+
+def read_from(spark: SparkSession, path: str, slot: int, n: int, per_shard: int = PER_SHARD) -> DataFrame:
+    """slot, tokens of n records from a slot on, in order: each shard that holds some is opened at its offset."""
+    shards = spark.read.parquet(f"{path}/shards").filter(F.col("shard").between(slot // per_shard, (slot + n - 1) // per_shard))
+    first = F.greatest(F.lit(slot) - F.col("shard").cast("long") * per_shard, F.lit(0))
+    last = F.least(F.lit(slot + n) - F.col("shard").cast("long") * per_shard, F.col("records"))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = FileSystem.from_uri(path)
+        for batch in batches:
+            for shard, stride, first, last in batch.itertuples(index=False):
+                with store.open_input_file(f"{base}/shard-{shard}.bin") as file:
+                    file.seek(first * stride)
+                    for at in range(first, last, 4096):
+                        m = min(4096, last - at)
+                        data = file.read(m * stride)
+                        yield pd.DataFrame({"slot": shard * per_shard + at + np.arange(m), "tokens": [data[i * stride : (i + 1) * stride] for i in range(m)]})
+
+    found = shards.select("shard", "stride", first.alias("first"), last.alias("last")).filter("first < last").repartitionByRange("shard")
+    return found.mapInPandas(work, "slot long, tokens binary").orderBy("slot")
