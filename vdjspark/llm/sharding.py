@@ -80,7 +80,8 @@ def assign(docs: DataFrame, tree: list[Leaf], grown: list[Leaf] | None = None) -
     Size: UTF-8 bytes of the text plus 16; null text counts as empty. Slots number a shard's rows
     gapless from 0: rows are counted by shard and by partition of the staged table, the counts give each
     such cell its first slot, and rows are numbered within their cell, so no task holds a whole shard.
-    Equal doc_ids share a shard and have slots of their own.
+    Equal doc_ids share a shard and have slots of their own. The row id is written with the staged rows, so
+    counts and slots agree however the table is split when it is read.
     """
     key = [F.col("doc_id")]
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -91,7 +92,7 @@ def assign(docs: DataFrame, tree: list[Leaf], grown: list[Leaf] | None = None) -
         shard_of(key, tree).cast("int").alias("shard"),
         (shard_of(key, grown) if grown else F.lit(None)).cast("int").alias("grown_shard"),
     )
-    rows = stage(found, "shards").withColumn("row", F.monotonically_increasing_id()).withColumn("part", F.shiftright("row", 33))
+    rows = stage(found.withColumn("row", F.monotonically_increasing_id()), "shards").withColumn("part", F.shiftright("row", 33))
     cells = rows.groupBy("shard", "part").agg(F.count("*").alias("n"))
     first = F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")
     cells = cells.select("shard", "part", first.alias("first"))
