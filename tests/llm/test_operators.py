@@ -114,9 +114,10 @@ def brute_groups(rows: list, n: int, num: int, den: int) -> list[tuple]:
     return [(d, len(s), (min(least[find(i)]) if least[find(i)] else None) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))]
 
 
-@pytest.mark.parametrize(("n", "num", "block"), [(3, 90, 256), (5, 80, 256), (2, 90, 5)])
-def test_jaccard_groups_match_all_pairs(docs, monkeypatch, n, num, block):
+@pytest.mark.parametrize(("n", "num", "block", "grams"), [(3, 90, 256, 1 << 21), (5, 80, 256, 1 << 21), (2, 90, 5, 1 << 21), (2, 90, 256, 900)])
+def test_jaccard_groups_match_all_pairs(docs, monkeypatch, n, num, block, grams):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCK_GRAMS", grams)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.group_documents(docs, n, num, 100).collect()]
     assert sorted(got, key=str) == sorted(brute_groups(rows, n, num, 100), key=str)

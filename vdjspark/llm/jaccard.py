@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -27,6 +27,8 @@ from vdjspark.runtime import small, stage
 
 #: Classes of a family that one task compares with each other.
 BLOCK = 256
+#: n-grams of such a block, so that long texts make smaller blocks (16 MB of hashes; one longer text is a block's worth).
+BLOCK_GRAMS = 1 << 21
 WORDS_OF_BITS = 32  # bitmaps of 2048 bits
 FANOUT = 8
 SEEDS = 4
@@ -190,6 +192,11 @@ def _same(a: str, b: str) -> F.Column:
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.h") == F.col(f"{b}.h"))
 
 
+def _blocks(grams: Column) -> Column:
+    """Blocks that a group of classes with so many n-grams in all is dealt to."""
+    return F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(grams / BLOCK_GRAMS)).cast("int")
+
+
 def group_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Documents -> doc_id, h (xxhash64 of the text), n_shingles, component_id.
 
@@ -215,7 +222,7 @@ def group_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
 
     utf8 = _utf8(docs)
     found = stage(utf8.mapInPandas(summaries, "doc_id long, h long, n long, node long, keys array<long>, free array<int>"), "sets")
-    classes = stage(found.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "h")).alias("at")), "classes")
+    classes = stage(found.filter("n > 0").groupBy("node").agg(F.max("n").alias("n"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "h")).alias("at")), "classes")
 
     # each class leaves out its most common parts; parts that only it has come last, so they needn't be ranked
     rows = found.filter(F.size("keys") > 0).dropDuplicates(["node"])
@@ -229,10 +236,9 @@ def group_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     met = stage(met.groupBy("node", "low").agg(F.sum("c").alias("c")), "met")
     families = stage(components(met.select(F.col("node").alias("a"), F.col("low").alias("b"))), "families")
     central = stage(met.groupBy("node").agg(F.sum("c").alias("c")), "central")
-    sizes = stage(families.groupBy("root").agg(F.count("*").alias("members")), "sizes")
-    members = stage(families.join(small(sizes), "root").join(small(central), "node"), "members")
-    members = classes.join(small(members), "node")
-    members = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    placed = stage(classes.join(small(families), "node").select("node", "root", "n", "at"), "placed")
+    sizes = stage(placed.groupBy("root").agg(_blocks(F.sum("n")).alias("blocks")), "sizes")
+    members = placed.join(small(sizes), "root").join(small(central), "node")
     members = stage(members.select("node", "root", "c", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "at.doc_id", "at.h"), "members")
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -276,14 +282,14 @@ def _across_blocks(sets: DataFrame, links: DataFrame, num: int, den: int) -> Dat
     """Links between blocks of one family.
 
     Only classes outside their family's largest component, after the blocks' own links, can add any:
-    they are compared, BLOCK at a time, with every block of the family.
+    they are compared, a block at a time, with every block of the family.
     """
     linked = small(stage(components(links), "linked"))
     large = sets.filter("blocks > 1").alias("s").join(linked.select("node", F.col("root").alias("mark")).alias("l"), F.col("s.node") == F.col("l.node"), "left")
     large = stage(large.select("s.*", F.coalesce("l.mark", "s.node").alias("mark")), "large")
     main = stage(large.groupBy("root", "mark").count().groupBy("root").agg(F.max(F.struct("count", "mark"))["mark"].alias("main")), "main")
     apart = large.join(small(main), "root").filter("mark != main").drop("main")
-    n_apart = stage(apart.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks")), "apart")
+    n_apart = stage(apart.groupBy("root").agg(_blocks(F.sum(F.octet_length("tokens")) / 8).alias("chunks")), "apart")
     apart = apart.join(small(n_apart), "root").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(1)), "chunks").cast("int"))
     first = apart.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("apart", F.lit(True))
     second = large.join(small(n_apart), "root").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("apart", F.lit(False))
