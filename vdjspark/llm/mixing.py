@@ -41,11 +41,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
 
 def _digits(hashed: Column, level: int) -> Column:
     """The first ``level`` * BITS bits."""
-    return F.shiftrightunsigned(hashed, 64 - level * BITS)
+    return F.shiftright(hashed, (LEVELS - level) * BITS)
 
 
-def _hash(seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), "doc_id", "text")
+def _hash(seed: int, row: str = "") -> Column:
+    """LEVELS * BITS bits of the MD5 of seed, doc_id and text, which SQL engines have too; nulls are left out."""
+    whole = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(f"{row}doc_id").cast("string"), F.col(f"{row}text")).cast("binary"))
+    return F.shiftright(F.conv(F.substring(whole, 1, 8), 16, 10).cast("long"), 32 - LEVELS * BITS)
 
 
 def _sized(docs: DataFrame, seed: int) -> DataFrame:
@@ -106,7 +108,7 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     """The mix itself: each row of ``docs`` as often as mix() takes it, with its own columns; texts aren't shuffled."""
     goal = small(thresholds(_sized(docs, seed), weights, most).select("of", "whole", "bound"))
     taken = docs.alias("t").join(goal.alias("g"), F.col("t.source").eqNullSafe(F.col("g.of")))
-    times = F.col("g.whole") + ((_digits(F.xxhash64(F.lit(seed), "t.doc_id", "t.text"), LEVELS) < F.col("g.bound")) & (F.col("g.whole") < most)).cast("int")
+    times = F.col("g.whole") + ((_digits(_hash(seed, "t."), LEVELS) < F.col("g.bound")) & (F.col("g.whole") < most)).cast("int")
     # sequence(1, 0) would count down, so documents that aren't taken go first
     taken = taken.select(F.struct("t.*").alias("row"), times.alias("times")).filter("times > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -61,6 +61,24 @@ QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_secrets, op3_jaccard_jo
 _A_TO_Z = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"[^\x20\x09-\x0D]+"
 
+_OP1 = """WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bytes FROM documents),
+h1 AS (SELECT r, doc_id, len(bytes) AS n, unnest(range(1, len(bytes) + 1)) AS p, unnest(bytes) AS y FROM t),
+h2 AS (SELECT *, hash(y, lead(y, 1) OVER o) AS k2 FROM h1 WINDOW o AS (PARTITION BY r ORDER BY p)),
+h4 AS (SELECT *, hash(k2, lead(k2, 2) OVER o) AS k4 FROM h2 WINDOW o AS (PARTITION BY r ORDER BY p)),
+h8 AS (SELECT *, hash(k4, lead(k4, 4) OVER o) AS k8 FROM h4 WINDOW o AS (PARTITION BY r ORDER BY p)),
+h16 AS (SELECT r, doc_id, n, p, y, hash(k8, lead(k8, 8) OVER o) AS k16 FROM h8 WINDOW o AS (PARTITION BY r ORDER BY p)),
+h32 AS (SELECT *, hash(k16, lead(k16, 16) OVER o) AS k32 FROM h16 WINDOW o AS (PARTITION BY r ORDER BY p)),
+h64 AS (SELECT *, hash(k32, lead(k32, 32) OVER o) AS k64 FROM h32 WINDOW o AS (PARTITION BY r ORDER BY p)),
+h128 AS (SELECT *, hash(k64, lead(k64, 64) OVER o) AS k128 FROM h64 WINDOW o AS (PARTITION BY r ORDER BY p)),
+h256 AS (SELECT *, hash(k128, lead(k128, 128) OVER o) AS k256 FROM h128 WINDOW o AS (PARTITION BY r ORDER BY p)),
+windows AS (SELECT r, doc_id, p, y, CASE WHEN p <= n - 399 THEN hash(k256, lead(k128, 256) OVER o, lead(k16, 384) OVER o) END AS k FROM h256 WINDOW o AS (PARTITION BY r ORDER BY p)),
+counts AS (SELECT k, count(*) AS copies, min(doc_id) AS least FROM windows WHERE k IS NOT NULL GROUP BY k),
+starts AS (SELECT r, p, y, CASE WHEN copies > 1 THEN p END AS again, CASE WHEN least < doc_id THEN p END AS later FROM windows LEFT JOIN counts USING (k)),
+marked AS (SELECT r, p, y, coalesce(max(again) OVER o > p - 400, false) AS gone, coalesce(max(later) OVER o > p - 400, false) AS late FROM starts WINDOW o AS (PARTITION BY r ORDER BY p)),
+spans AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS opens FROM marked),
+found AS (SELECT r, count_if(gone) AS n_removed, count_if(opens) AS n_spans, string_agg(y, '' ORDER BY p) FILTER (NOT gone) AS kept, count_if(late) AS n_later FROM spans GROUP BY r)
+SELECT doc_id, len(bytes) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256, CAST(coalesce(n_later, 0) AS BIGINT) AS n_later FROM t LEFT JOIN found USING (r)"""
+
 _OP3 = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_A_TO_Z}, '{_SPACED}') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS k FROM w, unnest(range(1, greatest(len(ws) - 1, 2))) AS u(i) WHERE len(ws) > 0),
 c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
@@ -87,5 +105,17 @@ counts AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i,
 found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM w LEFT JOIN counts USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-#: The others hash, learn, tokenize or propagate what SQL doesn't; tests hold them against plain versions.
-ORACLE = {"op3_jaccard_join": _OP3, "op6_window_dedup": _OP6, "op10_decontamination": _OP10}
+_OP7 = rf"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_SPACED}')) AS size, CAST('0x' || substr(md5(concat_ws(':', '7', doc_id, text)), 1, 8) AS BIGINT) >> 2 AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(3 * sum(size) AS DOUBLE) AS stop, CAST((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS DOUBLE) AS weight FROM d GROUP BY source),
+levels AS (SELECT *, stop / weight AS full_at, (sum(source_size) OVER () - coalesce(sum(stop) OVER o, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS level
+    FROM s WINDOW o AS (ORDER BY stop / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (SELECT source, source_size, least(stop, coalesce((SELECT level FROM levels WHERE level < full_at ORDER BY full_at LIMIT 1) * weight, stop)) AS target FROM levels),
+filled AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END AS whole FROM goals),
+hashes AS (SELECT source, h, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto FROM d GROUP BY source, h),
+cut AS (SELECT f.source, min(h) AS h, arg_min(words, h) AS words, arg_min(target - whole * source_size - (upto - words), h) AS rest
+    FROM filled f JOIN hashes x ON f.source IS NOT DISTINCT FROM x.source AND upto > greatest(target - whole * source_size, 0) GROUP BY f.source),
+bounds AS (SELECT f.*, coalesce(h + CAST(2 * rest >= words AS INT), 1 << 30) AS bound FROM filled f LEFT JOIN cut c ON f.source IS NOT DISTINCT FROM c.source)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CAST(h < bound AND whole < 3 AS INT)) AS BIGINT) AS taken FROM d JOIN bounds b ON d.source IS NOT DISTINCT FROM b.source"""
+
+#: The others hash by functions that SQL lacks, learn, tokenize or propagate; tests hold them against plain versions.
+ORACLE = {"op1_suffix_dedup": _OP1, "op3_jaccard_join": _OP3, "op6_window_dedup": _OP6, "op7_mixing": _OP7, "op10_decontamination": _OP10}
