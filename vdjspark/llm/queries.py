@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vdjspark.llm import jaccard, media, mixing, repeats, secrets, sharding, toxicity, training_order, winnowing
+from vdjspark.llm import infill, jaccard, media, mixing, repeats, secrets, sharding, toxicity, training_order, whitening, winnowing
 from vdjspark.runtime import spread, table
 
 
@@ -56,7 +56,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), hashed, "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_secrets, op3_jaccard_join, op4_toxicity, op5_audio, op6_window_dedup, op7_mixing, op8_sharding, op9_training_order, op10_decontamination)}
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.transform(spread(table(spark, sf_dir, "documents")), seed=1, rate=90, spm=20)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spread(table(spark, sf_dir, "embeddings")), most=8)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_secrets, op3_jaccard_join, op4_toxicity, op5_audio, op6_window_dedup, op7_mixing, op8_sharding, op9_training_order, op10_decontamination,
+        op11_fill_in_middle, op13_whitening,
+    )
+}
 
 _A_TO_Z = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = r"[^\x20\x09-\x0D]+"
@@ -117,5 +131,14 @@ cut AS (SELECT f.source, min(h) AS h, arg_min(words, h) AS words, arg_min(target
 bounds AS (SELECT f.*, coalesce(h + CAST(2 * rest >= words AS INT), 1 << 30) AS bound FROM filled f LEFT JOIN cut c ON f.source IS NOT DISTINCT FROM c.source)
 SELECT doc_id, size, source_size, target, CAST(size * (whole + CAST(h < bound AND whole < 3 AS INT)) AS BIGINT) AS taken FROM d JOIN bounds b ON d.source IS NOT DISTINCT FROM b.source"""
 
+_H11 = ", ".join(f"CAST('0x' || substr(digest, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+_OP11 = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+h AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, {_H11} FROM d),
+c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, coalesce(array_to_string(units[1 : a], ''), '') AS prefix, coalesce(array_to_string(units[a + 1 : b], ''), '') AS middle, coalesce(array_to_string(units[b + 1 :], ''), '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
 #: The others hash by functions that SQL lacks, learn, tokenize or propagate; tests hold them against plain versions.
-ORACLE = {"op1_suffix_dedup": _OP1, "op3_jaccard_join": _OP3, "op6_window_dedup": _OP6, "op7_mixing": _OP7, "op10_decontamination": _OP10}
+ORACLE = {"op1_suffix_dedup": _OP1, "op3_jaccard_join": _OP3, "op6_window_dedup": _OP6, "op7_mixing": _OP7, "op10_decontamination": _OP10, "op11_fill_in_middle": _OP11}
