@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vdjspark.llm import infill, jaccard, media, mixing, repeats, secrets, sharding, toxicity, training_order, whitening, winnowing
+from vdjspark.llm import infill, jaccard, media, mixing, neighbours, repeats, secrets, sharding, toxicity, training_order, whitening, winnowing
 from vdjspark.runtime import spread, table
 
 
@@ -60,6 +60,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.transform(spread(table(spark, sf_dir, "documents")), seed=1, rate=90, spm=20)
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(spread(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spread(table(spark, sf_dir, "embeddings")), most=8)
 
@@ -68,7 +72,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_secrets, op3_jaccard_join, op4_toxicity, op5_audio, op6_window_dedup, op7_mixing, op8_sharding, op9_training_order, op10_decontamination,
-        op11_fill_in_middle, op13_whitening,
+        op11_fill_in_middle, op12_neighbours, op13_whitening,
     )
 }
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vdjspark.llm.vectors import matrix, usable
 from vdjspark.runtime import stage
 
 SCALE, SHIFT = 1024, 100_000
@@ -25,12 +26,6 @@ STEP = 1024
 DIGITS = "decimal(38,0)"
 
 
-def finite(vector: Column) -> Column:
-    """Whether a vector is there, not empty, and holds numbers only."""
-    good = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
-    return F.coalesce((F.size(vector) > 0) & good, F.lit(False))
-
-
 def whole(vector: Column, scale: int = SCALE, shift: int = SHIFT) -> Column:
     """Entries as whole numbers floor(scale * entry) + shift; one that isn't finite is null, one too large for a long raises."""
 
@@ -42,10 +37,6 @@ def whole(vector: Column, scale: int = SCALE, shift: int = SHIFT) -> Column:
     return F.transform(vector, entry)
 
 
-def _lists(batch: pa.RecordBatch, d: int, kind: type) -> np.ndarray:
-    return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, d).astype(kind)
-
-
 def _safe(y: np.ndarray, rows: int) -> np.ndarray:
     """``y`` where the squares of sums of two entries add up within 63 bits, else as Python integers."""
     most = max(abs(int(y.max(initial=0))), abs(int(y.min(initial=0))))
@@ -63,7 +54,7 @@ def square_sums(vectors: DataFrame, centre: list[int]) -> dict[tuple[int, int],
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((d, d + 1), dtype=object)
         for batch in batches:
-            x = _lists(batch, d, np.int64)
+            x = matrix(batch, "x", d, np.int64)
             for begin in range(0, len(x), STEP):
                 part = x[begin : begin + STEP]
                 y = part - at.astype(np.int64) if np.abs(part).max(initial=0) < 1 << 62 else part.astype(object) - at
@@ -140,7 +131,7 @@ def project(vectors: DataFrame, key: str, fitted: Fit, most: int = 8) -> DataFra
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            y = _lists(batch, d, np.int64) - centre
+            y = matrix(batch, "x", d, np.int64) - centre
             most = max(abs(int(y.max(initial=0))), abs(int(y.min(initial=0)))) + 1
             wide = y if (most * n) ** 2 * d < 1 << 63 else y.astype(object)
             z = wide * n - (rest if wide.dtype == object else rest.astype(np.int64))
@@ -173,12 +164,11 @@ def whiten(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", most
     columns are ignored, whatever their names.
     """
     spark = rows.sparkSession
-    good = rows.select(F.col(key).cast("long").alias(key), F.col(vector).alias("v")).filter(finite(F.col("v")))
-    lengths = good.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
+    good, d = usable(rows, key, vector)
     schema = f"{key} long, component int, n long, deviation long, whitened double, explained double, identity_error double"
-    if not lengths:
+    if not d:
         return spark.createDataFrame([], schema)
-    vectors = good.filter(F.size("v") == lengths[0]["d"]).select(key, whole(F.col("v")).alias("x"))
+    vectors = good.select(key, whole(F.col("v")).alias("x"))
     fitted = fit(vectors)
     made = stage(project(vectors, key, fitted, most), "whitened")
     error = identity_error(made, min(most, fitted.usable))
