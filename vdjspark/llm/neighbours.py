@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 from math import erf, floor, log2, sqrt
 
 import numpy as np
@@ -106,22 +107,22 @@ class Index:
                 found.append((p, c))
         return sorted(found, reverse=True)
 
-    def visits(self, projections: np.ndarray, offsets: np.ndarray, s: float) -> list[Iterator[tuple[float, tuple[int, ...]]]]:
-        """Each table's buckets in the order of estimated success."""
-        return [best_first([self.choices(f, b, s) for f, b in zip(projections[t].tolist(), offsets[t].tolist(), strict=True)]) for t in range(self.tables)]
+    def visits(self, table: int, projections: np.ndarray, offsets: np.ndarray, s: float) -> Iterator[tuple[float, int, tuple[int, ...]]]:
+        """A table's buckets in the order of estimated success: (-probability, table, cells)."""
+        for p, cells in best_first([self.choices(f, b, s) for f, b in zip(projections[table].tolist(), offsets[table].tolist(), strict=True)]):
+            yield -p, table, cells
 
 
 def first_visits(index: Index, projections: np.ndarray, offsets: np.ndarray, first: int) -> list[tuple[int, tuple[int, ...]]]:
     """The first round's buckets (table, cells) of a query: the best ``first`` of each table, for a cosine of a half."""
-    return [(t, cells) for t, order in enumerate(index.visits(projections, offsets, 0.5)) for _, (_, cells) in zip(range(first), order, strict=False)]
+    return [(t, cells) for t in range(index.tables) for _, t, cells in islice(index.visits(t, projections, offsets, 0.5), first)]
 
 
 def later_visits(index: Index, projections: np.ndarray, offsets: np.ndarray, s: float, target: float, most: int) -> list[tuple[int, tuple[int, ...]]] | None:
     """Buckets for a neighbour of cosine s, best first over all tables, until all miss it with probability 1 - target; None beyond ``most``."""
     miss = [1.0] * index.tables
     out = []
-    merged = heapq.merge(*[((-p, t, cells) for p, cells in order) for t, order in enumerate(index.visits(projections, offsets, s))])
-    for p, t, cells in merged:
+    for p, t, cells in heapq.merge(*[index.visits(t, projections, offsets, s) for t in range(index.tables)]):
         out.append((t, cells))
         miss[t] = max(0.0, miss[t] + p)
         if np.prod(miss) <= 1 - target:
