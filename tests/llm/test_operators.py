@@ -336,6 +336,19 @@ def test_secrets_have_no_length_or_syntax_limits():
     assert len(secrets.lexed("".join(["k = 'Zx81mmQ7pLk2'\n", *["k = k + k\n"] * 60, "pwd = k"]))) == 1
 
 
+def test_secrets_of_chained_names_take_linear_time():
+    key = 'start = "q8Zr5tLw0PxV"\na = start\n'
+    for n in (10, 30_000):  # each line would copy all earlier literals
+        text = key + 'a = a + "x"\n' * n + "pwd = a\n"
+        found = {text[s:e]: name for s, e, name, _ in secrets.lexed(text)}
+        assert found["q8Zr5tLw0PxV"] == "pwd"
+    both = 'a = "Zx81mmQ7"\nb = "pLk2+Ab9"\n' + "a = a + b\nb = b + a\n" * 3000 + "pwd = a\n"
+    assert {both[s:e] for s, e, _, _ in secrets.lexed(both)} == {"Zx81mmQ7", "pLk2+Ab9"}
+    spans = [(3 * i, 3 * i + 2) for i in range(1000)] + [(0, 5)]
+    inside = secrets.Inside(spans)
+    assert (1, 4) in inside and (6, 8) in inside and (5, 7) not in inside and (2, 6) not in inside
+
+
 def test_secret_scan_keeps_every_row(docs, empty):
     got = secrets.digest(secrets.scan(docs))
     assert got.count() == docs.count() and secrets.scan(empty).count() == 0

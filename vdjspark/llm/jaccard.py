@@ -23,6 +23,7 @@ from pyspark.sql import Window
 
 from vdjspark.llm import hashing as H
 from vdjspark.llm.components import components
+from vdjspark.llm.frames import map_frames
 from vdjspark.runtime import small, stage
 
 #: Classes of a family that one task compares with each other.
@@ -221,7 +222,7 @@ def group_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
             yield out
 
     utf8 = _utf8(docs)
-    found = stage(utf8.mapInPandas(summaries, "doc_id long, h long, n long, node long, keys array<long>, free array<int>"), "sets")
+    found = stage(map_frames(utf8, summaries, "doc_id long, h long, n long, node long, keys array<long>, free array<int>"), "sets")
     classes = stage(found.filter("n > 0").groupBy("node").agg(F.max("n").alias("n"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "h")).alias("at")), "classes")
 
     # each class leaves out its most common parts; parts that only it has come last, so they needn't be ranked
@@ -249,7 +250,7 @@ def group_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
 
     near = small(members).alias("m")
     texts = utf8.alias("t").join(near, _same("t", "m")).select("m.node", "m.root", "m.c", "m.blocks", "m.block", "t.text")
-    sets = texts.mapInPandas(sets_of, "node long, root long, c long, blocks int, block int, tokens binary").dropDuplicates(["node"])
+    sets = map_frames(texts, sets_of, "node long, root long, c long, blocks int, block int, tokens binary").dropDuplicates(["node"])
     sets = stage(sets, "family-sets")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vdjspark.llm.frames import map_frames
+
 RATE, UP, DOWN, TAPS = 8000, 3, 4, 16
 TARGET = RATE * UP // DOWN
 FRAME, HOP, FFT, BANDS = TARGET // 40, TARGET // 100, 256, 20
@@ -168,4 +170,5 @@ def encode(docs: DataFrame, keep: bool = False) -> DataFrame:
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInPandas(work, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return map_frames(rows, work, schema)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vdjspark.llm import hashing as H
+from vdjspark.llm.frames import map_frames
 from vdjspark.llm.suffixes import repeated_starts
 from vdjspark.runtime import BROADCAST_ROWS, small, stage
 
@@ -45,7 +46,7 @@ def _runs(keyed: DataFrame, kind: str, window: int, gram: int) -> DataFrame:
                 of, start, n, anchor, extent = H.winnowed_runs(*_units(kind, texts[a:b]), window, gram)
                 yield pd.DataFrame({"doc_id": ids[a + of], "h": hs[a + of], "start": start.astype("int32"), "n": n.astype("int32"), "anchor": anchor.view("int64"), "extent": extent.view("int64")})
 
-    return keyed.mapInPandas(work, RUNS)
+    return map_frames(keyed, work, RUNS)
 
 
 def _same(a: str, b: str) -> F.Column:
@@ -89,7 +90,7 @@ def _finish(keyed: DataFrame, spans: DataFrame, columns: list[str], of_text: Cal
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
-    return joined.mapInPandas(work, schema)
+    return map_frames(joined, work, schema)
 
 
 def _byte_result(keep_text: bool) -> Callable:
@@ -146,7 +147,7 @@ def dedup_words(docs: DataFrame, window: int = 50, gram: int = 8, keep_text: boo
                 yield pd.DataFrame({"anchor": np.repeat(anchor, n), "hash": H.stretch(sums, at, at + window).view("int64"), "doc_id": doc_id, "h": h, "start": at.astype("int32")})
 
     opened = _with_lists(keyed, open_runs, ["start", "n", "anchor"], every=False)
-    windows = stage(opened.mapInPandas(window_hashes, "anchor long, hash long, doc_id long, h long, start int"), "windows")
+    windows = stage(map_frames(opened, window_hashes, "anchor long, hash long, doc_id long, h long, start int"), "windows")
     counted = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("most > least")
     single = windows.join(counted.select("anchor", "hash", "least"), ["anchor", "hash"]).filter("doc_id > least")
     spans = whole.unionByName(single.select("doc_id", "h", "start", (F.col("start") + window).alias("end")))
@@ -171,18 +172,17 @@ def dedup_bytes(docs: DataFrame, length: int = 400, gram: int = 128, hot: int =
     anchors = contents.groupBy("anchor").agg(F.count("*").alias("contents"), F.sum("copies").alias("all")).filter("all > 1")
     shared = stage(contents.join(anchors.select("anchor", "contents"), "anchor"), "shared")
     columns = ["start", "n", "anchor", "extent", "least", "settled", "hot"]
-    open_runs = shared.filter("contents > 1").select("at.*", "anchor", "extent", "least", (F.col("copies") > 1).alias("settled"), (F.col("contents") > hot).alias("hot"))
+    never = F.coalesce("least", F.lit((1 << 63) - 1))  # a null doc_id is never the smaller one
+    open_runs = shared.filter("contents > 1").select("at.*", "anchor", "extent", never.alias("least"), (F.col("copies") > 1).alias("settled"), (F.col("contents") > hot).alias("hot"))
     opened = _with_lists(keyed, open_runs, columns, every=False)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = batch[["text", *columns]].explode(columns, ignore_index=True)
             out["piece"] = [t[a : a + n + length - 1] for t, a, n in zip(out["text"], out["start"], out["n"], strict=True)]
-            # a null doc_id is never the smaller one
-            out["least"] = out["least"].astype("Int64").fillna(np.iinfo(np.int64).max)
             yield out.drop(columns=["text", "start"]).astype({"n": "int32", "anchor": "int64", "extent": "int64", "least": "int64", "settled": bool, "hot": bool})
 
-    pieces = stage(opened.mapInPandas(cut, "n int, anchor long, extent long, least long, settled boolean, hot boolean, piece binary"), "pieces")
+    pieces = stage(map_frames(opened, cut, "n int, anchor long, extent long, least long, settled boolean, hot boolean, piece binary"), "pieces")
 
     def sort_suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _whole_groups(batches, "anchor", "piece", 1 << 18):
@@ -201,8 +201,8 @@ def dedup_bytes(docs: DataFrame, length: int = 400, gram: int = 128, hot: int =
                 at = np.arange(row.n)
                 yield pd.DataFrame({"anchor": row.anchor, "hash": H.stretch(sums, at, at + length).view("int64"), "extent": row.extent, "begin": at, "least": row.least, "settled": row.settled})
 
-    cold = pieces.filter("not hot").repartition("anchor").sortWithinPartitions("anchor").mapInPandas(sort_suffixes, PARTS)
-    windows = pieces.filter("hot").mapInPandas(window_hashes, "anchor long, hash long, extent long, begin int, least long, settled boolean")
+    cold = map_frames(pieces.filter("not hot").repartition("anchor").sortWithinPartitions("anchor"), sort_suffixes, PARTS)
+    windows = map_frames(pieces.filter("hot"), window_hashes, "anchor long, hash long, extent long, begin int, least long, settled boolean")
     counted = windows.groupBy("anchor", "hash").agg(F.count("*").alias("copies"), F.min("least").alias("first")).filter("copies > 1")
     single = windows.join(counted, ["anchor", "hash"]).withColumn("later", F.col("least") > F.col("first")).filter("later or not settled")
     parts = cold.unionByName(single.select("anchor", "extent", "begin", (F.col("begin") + length).alias("end"), "later"))

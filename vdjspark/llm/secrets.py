@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vdjspark.llm.frames import map_frames
+
 # The base patterns and the least length of each match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -48,51 +52,124 @@ def name_score(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in {*parts, *joined}))
 
 
-def literal_score(text: str) -> float:
-    """0 to 1: long, mixed and evenly spread characters look like a key; words and placeholders don't."""
-    if len(text) < 8 or PLACEHOLDER.match(text):
+def _scored(head: str, tail: str, length: float, counts: dict[str, float]) -> float:
+    """literal_score() of a text of which its first 16 and last 2 characters, its length and its characters' counts are known."""
+    if length < 8:
         return 0.0
-    n = len(text)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(text).values())
+    if length <= 16:
+        placeholder = PLACEHOLDER.match(head)
+    else:
+        framed = any(head.startswith(x) and tail.endswith(y) for x, y in (("<", ">"), ("${", "}"), ("{{", "}}")))
+        placeholder = framed or set(counts) <= {"x", "X"} or set(counts) == {"*"} or set(counts) == {"."}
+    if placeholder:
+        return 0.0
+    entropy = -sum(c / length * math.log2(c / length) for c in counts.values())
+    text = "".join(counts)
     kinds = sum(bool(re.search(p, text)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9\\s]"))
     return min(1.0, entropy / 4.0) * (1.0 if kinds >= 2 else 0.6) * (0.3 if re.search(r"\s", text) else 1.0)
 
 
+def literal_score(text: str) -> float:
+    """0 to 1: long, mixed and evenly spread characters look like a key; words and placeholders don't."""
+    return _scored(text[:16], text[-2:], len(text), Counter(text))
+
+
+class Value:
+    """What a name stands for: literals and other values, none copied, and of its text what literal_score() needs.
+
+    Scores are pushed from values to their parts at the end, so a literal that many values hold is not
+    visited for each of them.
+    """
+
+    #: Counts are halved beyond it, as values that hold each other may grow without end; their ratios stay.
+    LARGE = 1e12
+
+    def __init__(self, text: str, spans: list[tuple[int, int]], parts: list[Value]):
+        self.spans, self.parts = spans, parts
+        texts = [text[a:b] for a, b in spans]
+        counts: Counter[str] = Counter()
+        for t in texts:
+            counts.update(t)
+        for p in parts:
+            for c, n in p.counts.items():
+                counts[c] += n
+        self.length = float(sum(map(len, texts)) + sum(p.length for p in parts))
+        if self.length > self.LARGE:
+            counts = Counter({c: n / 2 for c, n in counts.items()})
+            self.length = sum(counts.values())
+        self.counts = counts
+        # the order of literals and names matters to short texts only, where it rarely does
+        pieces = [t[:16] for t in texts] + [p.head for p in parts]
+        self.head = "".join(pieces)[:16]
+        self.tail = ([t[-2:] for t in texts] + [p.tail for p in parts])[-1] if pieces else ""
+        #: Best of named * whole score, and of named alone: (score, -time, name).
+        self.whole: tuple[float, int, str] = (0.0, 0, "")
+        self.named: tuple[float, int, str] = (0.0, 0, "")
+
+    def score(self) -> float:
+        return _scored(self.head, self.tail, self.length, self.counts)
+
+    def mark(self, whole: tuple[float, int, str], named: tuple[float, int, str]) -> None:
+        self.whole, self.named = max(self.whole, whole), max(self.named, named)
+
+
 def lexed(text: str, least: float = 0.5) -> list[tuple[int, int, str, float]]:
     """Literals that flow to sensitively named targets: (start, end, target, score).
 
     Reads ``name = value`` pairs (also ``:``, ``:=``, ``=>``) in order. A value is literals and names
-    joined by ``+``; a name that was assigned before stands for the literals assigned to it last, so a
-    literal is scored by each name it reaches, and keeps the best. A type may stand between name and
-    value (``name: str = value``), and a value may have several targets (``a = b = value``).
+    joined by ``+``; a name that was assigned before stands for what was assigned to it last, so a
+    literal is scored by each name it reaches, alone and with the value it is part of, and keeps the
+    best. A type may stand between name and value (``name: str = value``), and a value may have several
+    targets (``a = b = value``). A value's text holds a literal as often as the parts that it is made of
+    do, but a name that is added to itself counts once. Time and memory follow the text's length.
     """
-    env: dict[str, list[tuple[int, int]]] = {}
-    best: dict[tuple[int, int], tuple[float, str]] = {}
-    alone: dict[tuple[int, int], float] = {}
-    for pair in PAIR.finditer(text):
-        spans = []
+    env: dict[str, Value] = {}
+    values: list[Value] = []
+    for time, pair in enumerate(PAIR.finditer(text)):
+        spans, parts = [], []
         for term in TERM.finditer(text, *pair.span(3)):
             start, end = term.span()
             if term[1]:
                 spans.append((start + 1, end - 1))
             elif (known := env.get(term[2])) is not None:
-                spans += known
+                parts.append(known)
             elif not IDENTIFIER.match(term[2]) or any(c.isdigit() for c in term[2]):
                 spans.append((start, end))
-        spans = list(dict.fromkeys(spans))  # a = a + a names each literal once
+        parts = list(dict.fromkeys(parts))  # a = a + a is a
+        if len(parts) == 1 and not spans:
+            value = parts[0]
+        else:
+            value = Value(text, spans, parts)
+            values.append(value)
         names = [pair[1], *CHAINED.findall(pair[2])]
-        env.update(dict.fromkeys(names, spans))
+        env.update(dict.fromkeys(names, value))
         scored = [(named, name) for name in names if (named := name_score(name)) > 0]
-        if spans and scored:
-            whole = literal_score("".join(text[a:b] for a, b in spans))
+        if scored and value.length:
             named, name = max(scored, key=lambda x: x[0])
-            for span in spans:
-                if span not in alone:
-                    alone[span] = literal_score(text[slice(*span)])
-                score = named * max(whole, alone[span])
-                if score >= least and score > best.get(span, (0.0, ""))[0]:
-                    best[span] = score, name
-    return [(*span, name, round(score, 4)) for span, (score, name) in best.items()]
+            value.mark((named * value.score(), -time, name), (named, -time, name))
+    out = []
+    for value in reversed(values):  # parts were made before
+        for part in value.parts:
+            part.mark(value.whole, value.named)
+        for a, b in value.spans if value.named[0] else ():
+            alone = (value.named[0] * literal_score(text[a:b]), *value.named[1:])
+            score, _, name = max(value.whole, alone)
+            if score >= least and score > 0:
+                out.append((a, b, name, round(score, 4)))
+    return out
+
+
+class Inside:
+    """Whether a span lies in one of many others."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts = [a for a, _ in spans]
+        self.ends = list(accumulate((b for _, b in spans), max))
+
+    def __contains__(self, span: tuple[int, int]) -> bool:
+        before = bisect_right(self.starts, span[0])
+        return bool(before) and self.ends[before - 1] >= span[1]
 
 
 def found_in(text: str) -> list[tuple[str, int, int, str | None, float]]:
@@ -104,8 +181,8 @@ def found_in(text: str) -> list[tuple[str, int, int, str | None, float]]:
         out += [("access", *m.span(), None, 1.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     out += [("hex", *m.span(), None, 1.0) for m in HEX.finditer(text)]
     if ":" in text or "=" in text:
-        base = [(s, e) for _, s, e, _, _ in out]
-        out += [("literal", s, e, name, score) for s, e, name, score in lexed(text) if not any(a <= s and e <= b for a, b in base)]
+        base = Inside([(s, e) for _, s, e, _, _ in out])
+        out += [("literal", s, e, name, score) for s, e, name, score in lexed(text) if (s, e) not in base]
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
@@ -121,7 +198,7 @@ def scan(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"].array, "found": found})
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return chosen.mapInPandas(work, f"doc_id long, found {FOUND}")
+    return map_frames(chosen, work, f"doc_id long, found {FOUND}")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -14,9 +14,11 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vdjspark.llm.frames import map_frames
 from vdjspark.runtime import small, stage
 
 # Characters that pass for Latin letters (Cyrillic, Greek), and digits and signs put for letters.
@@ -172,22 +174,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             x = np.array([features(t, machine) for t in batch["text"]]).reshape(-1, 3)
             yield pd.DataFrame({"doc_id": batch["doc_id"].array, "score": 1 / (1 + np.exp(-np.clip(model.bias + x @ slopes, -30, 30)))})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(work, "doc_id long, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return map_frames(rows, work, "doc_id long, score double")
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The documents, all columns, whose score is below the threshold. Null text is kept."""
-    names = docs.columns
-    schema = docs.schema
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = model.matcher()
         slopes = np.array(model.slopes)
         for batch in batches:
-            x = np.array([features(t or "", machine) for t in batch["text"]]).reshape(-1, 3)
-            yield batch[1 / (1 + np.exp(-np.clip(model.bias + x @ slopes, -30, 30))) < threshold][names]
+            x = np.array([features(t or "", machine) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
+            # whole Arrow rows: no other column is converted
+            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(model.bias + x @ slopes, -30, 30))) < threshold))
 
-    return docs.mapInPandas(work, schema)
+    return docs.mapInArrow(work, docs.schema)
 
 
 def lexicon_words(model: Model) -> list[str]:

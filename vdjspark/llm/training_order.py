@@ -20,6 +20,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vdjspark.llm.frames import map_frames
 from vdjspark.llm.hashing import mixed
 from vdjspark.runtime import small, stage
 
@@ -124,11 +125,11 @@ def sequences(docs: DataFrame, vocabulary: bytes, length: int) -> DataFrame:
                 data = full.tobytes()
                 rows += [(i, s, min(length, len(ids) - s * length), data[s * stride : (s + 1) * stride]) for s in range(n)]
             out = pd.DataFrame(rows, columns=["of", "seq", "n_tokens", "tokens"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").array[out.pop("of").to_numpy()])
+            out.insert(0, "doc_id", batch["doc_id"].array[out.pop("of").to_numpy()])
             yield out
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return chosen.mapInPandas(work, "doc_id long, seq int, n_tokens int, tokens binary")
+    return map_frames(chosen, work, "doc_id long, seq int, n_tokens int, tokens binary")
 
 
 def materialise(docs: DataFrame, key: int = 20_240_229, length: int = 256, per_shard: int = PER_SHARD, vocabulary: str = VOCABULARY) -> DataFrame:
