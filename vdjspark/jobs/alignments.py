@@ -283,7 +283,7 @@ def cloneset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EMPTY = ", ".join(f"'' AS {c}" for c in ("sequence", "productive", "v_call", "d_call", "j_call", "sequence_alignment", "germline_alignment", "v_cigar", "d_cigar", "j_cigar", "vj_in_frame", "stop_codon", "cdr3_start", "cdr3_end", "v_sequence_end", "j_sequence_start", "v_junction_end", "j_junction_start"))
 
 
-@query(READS + f"SELECT CAST(row_number() OVER (ORDER BY n DESC, seq) AS VARCHAR) AS sequence_id, 'F' AS rev_comp, seq AS junction, {_AA} AS junction_aa, CAST(n AS VARCHAR) AS duplicate_count, q.qual_text AS junction_quality_scores, CAST(least AS VARCHAR) AS junction_minimum_quality_score, {_EMPTY} FROM clones JOIN quals q USING (seq)")
+@query(READS + f"SELECT CAST(row_number() OVER (ORDER BY n DESC, seq) AS VARCHAR) AS sequence_id, 'F' AS rev_comp, seq AS junction, {_AA} AS junction_aa, CAST(n AS VARCHAR) AS duplicate_count, q.scores AS junction_quality_scores, CAST(least AS VARCHAR) AS junction_minimum_quality_score, {_EMPTY} FROM clones JOIN quals q USING (seq)")
 def converted_clones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored clone set as AIRR rows without a reference."""
     return tables.converted(K.build(reads(spark, sf_dir)))

@@ -54,7 +54,7 @@ tiles AS (SELECT doc_id, source, CAST(i AS INT) AS tile, substr(l, CAST(i * {REA
 reads AS (SELECT doc_id, source, tile, doc_id * 100000 + tile AS ordinal, translate(t, '{LETTERS}', '{AS_BASES}') AS seq, translate(t, '{LETTERS}', '{AS_QUALITY}') AS qual_text FROM tiles),
 bases AS (SELECT doc_id, source, tile, ordinal, seq, CAST(p AS INT) AS pos, substr(seq, p, 1) AS base, ascii(substr(qual_text, p, 1)) - 33 AS q FROM reads, unnest(range(1, length(seq) + 1)) AS v(p)),
 clones AS (SELECT seq, count(*) AS n FROM reads GROUP BY seq),
-quals AS (SELECT seq, string_agg(chr(CAST(q + 33 AS INT)), '' ORDER BY pos) AS qual_text, min(q) AS least FROM (SELECT seq, pos, max(q) AS q FROM bases GROUP BY seq, pos) GROUP BY seq)
+quals AS (SELECT seq, string_agg(chr(CAST(q + 33 AS INT)), '' ORDER BY pos) AS qual_text, string_agg(CAST(CAST(q AS INT) AS VARCHAR), '|' ORDER BY pos) AS scores, min(q) AS least FROM (SELECT seq, pos, max(q) AS q FROM bases GROUP BY seq, pos) GROUP BY seq)
 """
 
 
@@ -275,13 +275,13 @@ _AA_OF_FULL = _AA.replace("(seq", "(f")
 @query(
     READS
     + f""", n AS (SELECT count(*) // 2 AS n FROM benchmark), items AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS k, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{LETTERS}', '{AS_BASES}') AS ref FROM benchmark),
-ids AS (SELECT c.seq, c.n, q.qual_text, q.least, row_number() OVER (ORDER BY c.n DESC, c.seq) AS id FROM clones c JOIN quals q USING (seq)),
+ids AS (SELECT c.seq, c.n, q.scores, q.least, row_number() OVER (ORDER BY c.n DESC, c.seq) AS id FROM clones c JOIN quals q USING (seq)),
 full_ AS (SELECT ids.*, 'TRBV' || id % n.n || '*01' AS v_call, 'TRBJ' || id % n.n || '*01' AS j_call, v.ref AS v, j.ref AS j, substr(v.ref, 1, 27) || seq || substr(j.ref, 34) AS f FROM ids, n JOIN items v ON v.k = 2 * (id % n.n) JOIN items j ON j.k = 2 * (id % n.n) + 1),
 aa AS (SELECT *, {_AA} AS jaa, {_AA_OF_FULL} AS faa FROM full_),
 res AS (SELECT *, {_AA.replace("(seq", "(substr(v, 28, 3)")} AS av, {_AA.replace("(seq", "(substr(j, 31, 3)")} AS aj FROM aa)
 SELECT CAST(id AS VARCHAR) AS sequence_id, f AS sequence, 'F' AS rev_comp, CASE WHEN jaa <> '' AND substr(jaa, 1, 1) = av AND jaa[-1] = aj AND NOT contains(faa, '*') THEN 'T' ELSE 'F' END AS productive, v_call, '' AS d_call, j_call, '' AS sequence_alignment, '' AS germline_alignment,
   seq AS junction, jaa AS junction_aa, '' AS v_cigar, '' AS d_cigar, '' AS j_cigar, CAST(n AS VARCHAR) AS duplicate_count, CASE WHEN length(f) % 3 = (length(j) - 30) % 3 THEN 'T' ELSE 'F' END AS vj_in_frame, CASE WHEN contains(faa, '*') THEN 'T' ELSE 'F' END AS stop_codon,
-  '31' AS cdr3_start, CAST(31 + length(seq) - 7 AS VARCHAR) AS cdr3_end, '37' AS v_sequence_end, '58' AS j_sequence_start, qual_text AS junction_quality_scores, CAST(least AS VARCHAR) AS junction_minimum_quality_score, '10' AS v_junction_end, '31' AS j_junction_start FROM res"""
+  '31' AS cdr3_start, CAST(31 + length(seq) - 7 AS VARCHAR) AS cdr3_end, '37' AS v_sequence_end, '58' AS j_sequence_start, scores AS junction_quality_scores, CAST(least AS VARCHAR) AS junction_minimum_quality_score, '10' AS v_junction_end, '31' AS j_junction_start FROM res"""
 )
 def rearrangement_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clones with alleles made of the benchmark's texts."""

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vdjspark.functions import cigar as C
+from vdjspark.functions.alleles import with_allele
 from vdjspark.functions.sequences import translate_codons
-from vdjspark.runtime import small, stage
+from vdjspark.runtime import stage
 from vdjspark.sources.sequence_files import numbered
 
 
@@ -17,15 +18,15 @@ def junctions(pairs: DataFrame, alleles: DataFrame, min_length: int = 10, keep:
     """V/J alignment pairs (structs v, j) -> ordinal, seq, qual_text, v_call, j_call, v_end, j_start, scores.
 
     Dropped: unmapped V or J, reverse-complemented J, anchors that the alignment doesn't reach, and
-    junctions shorter than ``min_length``. ``alleles``: name, refpos (anchor) and seq. ``keep`` names
+    junctions shorter than ``min_length``. ``alleles``: name, refpos (anchor) and seq; a mapped alignment
+    to an allele that they lack, or of the other region, raises. ``keep`` names
     columns of the pairs, or of v_ref, j_ref (the alleles' refpos and seq) and v_ops, j_ops (the
     alignments' operations), that are returned too.
     """
     ref = F.struct("refpos", "seq")
-    v_ref = alleles.select(F.col("name").alias("v_call"), ref.alias("v_ref"))
-    j_ref = alleles.select(F.col("name").alias("j_call"), ref.alias("j_ref"))
     mapped = pairs.filter((F.col("v.FLAG").bitwiseAND(4) == 0) & (F.col("j.FLAG").bitwiseAND(4) == 0) & (F.col("j.FLAG").bitwiseAND(16) == 0))
-    rows = mapped.withColumn("v_call", F.col("v.RNAME")).withColumn("j_call", F.col("j.RNAME")).join(small(v_ref), "v_call").join(small(j_ref), "j_call")
+    rows = mapped.withColumn("v_call", F.col("v.RNAME")).withColumn("j_call", F.col("j.RNAME"))
+    rows = with_allele(with_allele(rows, alleles, "v_call", "V", v_ref=ref), alleles, "j_call", "J", j_ref=ref)
     v_ras, j_ras = F.col("v.POS") - 1, F.col("j.POS") - 1
     v_cigar, j_cigar = F.col("v.CIGAR"), F.col("j.CIGAR")
     rows = rows.withColumn("v_ops", C.placed(v_cigar, v_ras)).withColumn("j_ops", C.placed(j_cigar, j_ras))

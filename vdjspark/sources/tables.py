@@ -98,8 +98,8 @@ def allele_counts(alleles: DataFrame) -> DataFrame:
 
 
 def read_junctions(spark: SparkSession, path: str, encoding: str = "Illumina1.8") -> DataFrame:
-    """Junction list with columns nt_jnc and q_jnc -> reads (seq, qual)."""
-    found = spark.read.csv(path, sep="\t", header=True)
+    """Junction list with columns nt_jnc and q_jnc -> reads (seq, qual). Quotes are qualities like any other character."""
+    found = spark.read.csv(path, sep="\t", header=True, quote="", escape="")
     return found.select(F.col("nt_jnc").alias("seq"), S.decode_quality(F.col("q_jnc"), encoding).alias("qual"))
 
 
@@ -129,7 +129,10 @@ def write_cloneset(clones: DataFrame, path: str) -> None:
 
 
 def write_airr(rows: DataFrame, path: str) -> None:
-    rows.write.csv(path, sep="\t", header=True, emptyValue="")
+    """Tab-separated text as it is: no quotes, and no escapes for quotes or backslashes. A tab or line end in a value raises."""
+    whole = [F.when(F.col(c).rlike(r"[\t\r\n]"), F.raise_error(F.lit(f"tab or line end in {c}"))).otherwise(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in rows.columns]
+    lines = rows.select(F.concat_ws("\t", *whole).alias("\t".join(rows.columns)))
+    lines.write.csv(path, sep="\x00", header=True, quote="", escape="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def converted(clones: DataFrame) -> DataFrame:
