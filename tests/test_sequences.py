@@ -260,16 +260,72 @@ def test_umi_groups_compare_every_read(spark, chunk):
         seqs.add("".join(s)[rng.randrange(4) :])
     order = sorted(seqs)
     rng.shuffle(order)
-    leaders, want = [], {}
-    for i, s in enumerate(order):
-        lead = next((x for x in leaders if D.best_shift(s, x, 30, 4)[1] >= 24), None)
-        leaders += [] if lead else [s]
-        want.setdefault(lead or s, []).append(i)
+    want = plain_umi(order, 30, 4, 20, 24)
     fast = D.Leaders(30, 4, 24)
     assert all(fast.shift(fast.coded(a), fast.coded(b)) == D.best_shift(a, b, 30, 4) for a in order[:40] for b in order[:40])
     reads = spark.createDataFrame([("R1", "AA", i, s, [30] * len(s)) for i, s in enumerate(order)], "qualifier string, umi string, ordinal long, seq string, qual array<int>")
     got = D.umi_consensus(reads, chunk=chunk).collect()
-    assert len(want) > 6 and {(r.ordinal, r["count"]) for r in got} == {(min(x), len(x)) for x in want.values()}
+    assert len(want) > 6 and {(r.ordinal, r["count"], r.seq) for r in got} == {(min(x), len(x), seq) for x, seq in want}
+
+
+def plain_umi(order, k, most, offset_score, merge_score):
+    """Reads of one group, each once, in order -> (numbers of the members, consensus) of each subgroup, by the stated rule."""
+
+    def consensus(members):
+        seen = {}
+        for i, off in members:
+            for p, c in enumerate(order[i]):
+                seen.setdefault(p + off, []).append(c)
+        out = ""
+        for p in sorted(seen):
+            n = {b: seen[p].count(b) for b in "ACGT"}
+            top = [b for b in n if n[b] == max(n.values())]
+            out += top[0] if len(top) == 1 else "N"
+        return out
+
+    leaders = []
+    for i, s in enumerate(order):
+        if not any(D.best_shift(s, order[j], k, most)[1] >= merge_score for j in leaders):
+            leaders.append(i)
+    heads, at = {j: order[j] for j in leaders}, {}
+    for _ in range(2):
+        for i, s in enumerate(order):
+            found = [(-score, j, off) for j, h in heads.items() for off, score in [D.best_shift(s, h, k, most)] if score >= merge_score]
+            if found:
+                score, j, off = min(found)
+                at[i] = j, off if -score >= offset_score else 0
+            else:
+                at.setdefault(i, (i, 0))
+        groups = {}
+        for i, (j, off) in at.items():
+            groups.setdefault(j, []).append((i, off))
+        heads = {j: consensus(members) for j, members in groups.items()}
+    return [([i for i, _ in members], heads[j]) for j, members in groups.items()]
+
+
+def test_umi_reads_go_to_the_best_leader(spark):
+    base = "ACGTTGCAACGGTTAACCGGTATCAGTCAG"
+    near = base[:10] + "TTTTT" + base[15:18] + "A" + base[19:]
+    assert base[18] != "A"
+    assert D.best_shift(near, base, 30, 4)[1] <= 24
+    between = near[:10] + base[10:12] + near[12:]
+    rows = [(base, 5), (near, 3), (between, 1)]
+    reads = [("R1", "AA", i * 10 + k, s, [30] * 30) for i, (s, n) in enumerate(rows) for k in range(n)]
+    got = D.umi_consensus(spark.createDataFrame(reads, "qualifier string, umi string, ordinal long, seq string, qual array<int>")).collect()
+    assert D.best_shift(between, near, 30, 4)[1] > D.best_shift(between, base, 30, 4)[1]
+    assert sorted((r["count"], r.seq) for r in got) == [(4, near), (5, base)]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_umi_consensus_known_by_hand(spark, order):
+    one = "AGGCTTGTGCGTGACAGATAAAGCGCTGAGCTGAGCTCTG"
+    seqs = [one, "TGTGCGTGACAGATAAAGCGCTGAGCTG", "ACCAAGGCTTGTGCGTGACAGATAAAGCGCTGAGCT"]
+    rows = [("R1", "A", i, seqs[j], [40] * len(seqs[j])) for i, j in enumerate(order)] + [("R1", "T", 9, "ACCCCAAAAAGGTGGTG", [40] * 17), ("R1", "T", 10, "AACCCCAAAAAGGGGG", [40] * 16)]
+    reads = spark.createDataFrame(rows, "qualifier string, umi string, ordinal long, seq string, qual array<int>")
+    got = {r.umi: r for r in D.umi_consensus(reads, k=15, most_shift=10, least_offset_score=0, least_merge_score=0).collect()}
+    assert len(got) == 2
+    assert (got["A"].seq, list(got["A"].qual), got["A"]["count"], got["A"].base_count, got["A"].mutation_count) == ("ACCA" + one, [40] * 44, 3, 104, 0)
+    assert (got["T"].seq, list(got["T"].qual), got["T"]["count"], got["T"].base_count, got["T"].mutation_count) == ("AACCCCAAAAAGGNGGTG", [40] * 13 + [0] + [40] * 4, 2, 33, 1)
 
 
 def test_airr(spark):

@@ -78,17 +78,23 @@ def hamming(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))))
 
 
-def mismatch_quality(a: Column, qa: Column, b: Column, qb: Column) -> Column:
-    """At differing positions: their number, and the sum and largest of the smaller quality."""
+def mismatch_quality(a: Column, qa: Column, b: Column, qb: Column, offset: Column | int = 0) -> Column:
+    """At differing positions: their number, and the sum and largest of the smaller quality.
+
+    b is moved right by ``offset`` bases (left where it is negative); only positions that both have count.
+    """
+    o = F.lit(offset) if isinstance(offset, int) else offset
+    first, end = F.greatest(o, F.lit(0)), F.least(F.length(a), F.length(b) + o)
     start = F.struct(F.lit(0).alias("hd"), F.lit(0).alias("sum_q"), F.lit(0).alias("max_q"))
 
     def step(s: Column, i: Column) -> Column:
-        q = F.least(F.get(qa, i - 1), F.get(qb, i - 1))
-        differs = F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))
+        q = F.least(F.get(qa, i - 1), F.get(qb, i - 1 - o))
+        differs = F.substring(a, i, F.lit(1)) != F.substring(b, i - o, F.lit(1))
         after = F.struct((s["hd"] + 1).alias("hd"), (s["sum_q"] + q).alias("sum_q"), F.greatest(s["max_q"], q).alias("max_q"))
         return F.when(differs, after).otherwise(s)
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), start, step)
+    places = F.when(end > first, F.sequence(first + 1, end)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(places, start, step)
 
 
 def joined_reads(a: Column, b: Column) -> Column:

@@ -232,6 +232,63 @@ def demultiplexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.demultiplex(reads(spark, sf_dir).withColumn("id", F.col("ordinal").cast("string")), ADAPTERS)
 
 
+def _hits_sql() -> str:
+    rows = []
+    for a in ADAPTERS:
+        p = D.Pattern(a.pattern)
+        at, seed = p.seed
+        rows.append(f"SELECT '{a.sample}' AS sample, false AS rc, {at} AS ahead, '{seed}' AS seed, {p.allowed} AS allowed")
+        rows.append(f"SELECT '{a.sample}', true, {len(p.allowed) - at - len(seed)}, '{D.turned(seed)}', {[D.turned(x) for x in reversed(p.allowed)]}")
+    return " UNION ALL ".join(rows)
+
+
+@query(
+    READS
+    + f""", adapters AS ({_hits_sql()}),
+spots AS (SELECT ordinal, seq, sample, rc, allowed, CAST(p - 1 - ahead AS INT) AS start FROM reads, adapters, unnest(range(1, length(seq) + 1)) AS u(p) WHERE substr(seq, CAST(p AS INT), length(seed)) = seed AND p - 1 - ahead >= 0 AND p - 1 - ahead + len(allowed) <= length(seq)),
+judged AS (SELECT ordinal, sample, rc, start, CAST(list_sum(list_transform(range(1, len(allowed) + 1), lambda i: CASE WHEN contains(allowed[i], substr(seq, CAST(start + i AS INT), 1)) THEN 0 ELSE 1 END)) AS INT) AS mismatches FROM spots WHERE contains(allowed[-1], substr(seq, CAST(start + len(allowed) AS INT), 1)))
+SELECT ordinal AS id, sample, rc, CAST(row_number() OVER (PARTITION BY ordinal, sample, rc ORDER BY mismatches, start) AS INT) AS number, mismatches, start FROM judged WHERE mismatches <= 2"""
+)
+def adapter_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of every adapter, on both strands."""
+    return D.adapter_hits(reads(spark, sf_dir).withColumn("id", F.col("ordinal")), ADAPTERS)
+
+
+@query("WITH n AS (SELECT DISTINCT p_name AS s FROM part), p AS (SELECT x.s AS s, y.s AS other, CAST(hamming(x.s, y.s) AS INT) AS distance FROM n x JOIN n y ON length(x.s) = length(y.s) AND x.s <> y.s) SELECT s, other, distance FROM p QUALIFY rank() OVER (PARTITION BY s ORDER BY distance) = 1")
+def nearest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest others of every part name, however far."""
+    return J.nearest_neighbours(table(spark, sf_dir, "part"), None, "p_name")
+
+
+@query(
+    READS
+    + """, pairs AS (SELECT a.doc_id, a.tile, a.ordinal AS ia, b.ordinal AS ib, CAST(a.ordinal % 3 + 1 AS BIGINT) AS na, CAST(b.ordinal % 4 + 1 AS BIGINT) AS nb, CAST(a.ordinal % 7 AS INT) AS ra, CAST(b.ordinal % 5 AS INT) AS rb, length(a.seq) AS la, length(b.seq) AS lb FROM reads a JOIN reads b ON a.doc_id = b.doc_id AND b.tile = a.tile + 1 WHERE length(b.seq) >= 10),
+cells AS (SELECT p.doc_id, p.tile, pos, base, q, na AS n, 0 AS side FROM pairs p JOIN bases x ON x.ordinal = ia UNION ALL SELECT p.doc_id, p.tile, pos + ra - rb, base, q, nb, 1 FROM pairs p JOIN bases x ON x.ordinal = ib),
+f AS (SELECT doc_id, tile, pos, base, sum(n) AS freq, max(q) AS q FROM cells GROUP BY ALL),
+r AS (SELECT *, rank() OVER w AS r, sum(freq) OVER (PARTITION BY doc_id, tile, pos) AS total FROM f WINDOW w AS (PARTITION BY doc_id, tile, pos ORDER BY freq DESC, q DESC)),
+c AS (SELECT doc_id, tile, pos, CASE WHEN count(*) = 1 THEN max(base) ELSE 'N' END AS base, CASE WHEN count(*) = 1 THEN max(q) ELSE 0 END AS q, max(total - freq) AS wrong FROM r WHERE r = 1 GROUP BY ALL),
+s AS (SELECT doc_id, tile, string_agg(base, '' ORDER BY pos) AS seq, string_agg(chr(CAST(q + 33 AS INT)), '' ORDER BY pos) AS qual_text, CAST(sum(wrong) AS BIGINT) AS mutations FROM c GROUP BY ALL),
+d AS (SELECT x.doc_id, x.tile, least(x.q, y.q) AS q FROM cells x JOIN cells y USING (doc_id, tile, pos) WHERE x.side = 0 AND y.side = 1 AND x.base <> y.base),
+m AS (SELECT doc_id, tile, CAST(count(*) AS INT) AS hd, CAST(sum(q) AS INT) AS sum_q, CAST(max(q) AS INT) AS max_q FROM d GROUP BY ALL)
+SELECT doc_id, tile, seq, qual_text, mutations, na + nb AS count, greatest(na, nb) AS orig_count, greatest(ra, rb) AS refpos, coalesce(hd, 0) AS hd, coalesce(sum_q, 0) AS sum_q, coalesce(max_q, 0) AS max_q FROM pairs JOIN s USING (doc_id, tile) LEFT JOIN m USING (doc_id, tile)"""
+)
+def offset_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbouring reads as clones with anchors, added where the anchors meet, and how they differ there."""
+    o = F.col("ordinal")
+
+    def clone(copies: int, anchors: int) -> DataFrame:
+        n = (o % copies + 1).alias("count")
+        rows = reads(spark, sf_dir).select("doc_id", "tile", "seq", "qual", n, n.alias("orig_count"), (o % anchors).cast("int").alias("refpos"))
+        rows = K.with_frequencies(rows)
+        return rows.select("doc_id", "tile", F.struct(*rows.columns[2:]).alias("a"))
+
+    b = clone(4, 5).select("doc_id", (F.col("tile") - 1).alias("tile"), F.col("a").alias("b")).filter("length(b.seq) >= 10")
+    both = clone(3, 7).join(b, ["doc_id", "tile"])
+    differ = S.mismatch_quality(F.col("a.seq"), F.col("a.qual"), F.col("b.seq"), F.col("b.qual"), F.col("a.refpos") - F.col("b.refpos"))
+    out = both.select("doc_id", "tile", K.added(F.col("a"), F.col("b")).alias("s"), differ.alias("m"))
+    return out.select("doc_id", "tile", "s.seq", S.encode_quality(F.col("s.qual")).alias("qual_text"), "s.mutations", "s.count", "s.orig_count", "s.refpos", "m.hd", "m.sum_q", "m.max_q")
+
+
 @query()
 def umi_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consensus of reads that share source and their first five bases."""

@@ -78,12 +78,12 @@ def all_qualities(by_quality: DataFrame, most: int = 41) -> DataFrame:
     return every.join(by_quality, ["region", "q"], "left").select("region", F.col("q").alias("Q"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "mm")])
 
 
-def corrected(clones: DataFrame, mismatch: M.Rate, insertion: float, deletion: float, max_quality: int, options: Options) -> DataFrame:
-    """The four merges in turn; each result is a written table. Clones of different V and J stay apart unless they are collapsed."""
+def corrected(clones: DataFrame, mismatch: M.Rate, overall: float, insertion: float, deletion: float, max_quality: int, options: Options) -> DataFrame:
+    """The four merges in turn; each result is a written table. ``mismatch`` is by length or for all, ``overall`` for all. Clones of different V and J stay apart unless they are collapsed."""
     now = M.start(clones, () if options.collapse_vj else ("v_call", "j_call"))
     now = stage(M.merge_by_quality(now, mismatch, options.confidence, max_quality), "by-quality")
     now = stage(M.merge_by_abundance(now, mismatch, options.confidence), "by-abundance")
-    now = stage(M.merge_indels(now, insertion, deletion, mismatch, options.confidence), "indels")
+    now = stage(M.merge_indels(now, insertion, deletion, overall, options.confidence), "indels")
     return stage(M.merge_unknown(now), "unknown")
 
 
@@ -115,7 +115,7 @@ def run(pairs: DataFrame, alleles: DataFrame, options: Options | None = None) ->
     between = stage(E.quality_histogram(found, F.col("v_end"), F.col("j_start")), "between")
     max_quality = E.lower_median(between).head()["median"]
     rates = stage(E.rates_by_length(sums, between, alpha, overall["mmr"] or 0.0), "rates")
-    merged = corrected(built, rates, overall["insr"] or 0.0, overall["delsr"] or 0.0, max_quality, options)
+    merged = corrected(built, rates, overall["mmr"] or 0.0, overall["insr"] or 0.0, overall["delsr"] or 0.0, max_quality, options)
     rows = airr.rearrangements(K.ranked(merged.select("seq", "qual", "count", "note.*")), alleles)
     bad = F.coalesce((F.col("junction_minimum_quality_score").cast("int") < options.min_quality) | (F.col("stop_codon") == "T") | (F.col("vj_in_frame") == "F"), F.lit(False))
     return Result(rows.filter(~bad), rows.filter(bad), sums, by_quality)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vdjspark.functions import cigar as C
+from vdjspark.functions import frequencies as frequencies_of
 from vdjspark.functions.alleles import with_allele
 from vdjspark.functions.sequences import translate_codons
 from vdjspark.runtime import stage
@@ -150,9 +151,39 @@ def consensus(reads: DataFrame, group: list[str], offset: Column | None = None,
     return out.select(*group, F.array_join(F.transform("at", lambda x: x["base"]), "").alias("seq"), F.transform("at", lambda x: x["q"]).alias("qual"), "base_count", "mutation_count")
 
 
+def with_frequencies(clones: DataFrame) -> DataFrame:
+    """Clones (seq, qual, count) with their packed frequencies ``pfm``."""
+    return clones.withColumn("pfm", frequencies_of.of_reads(F.col("seq"), F.col("qual"), F.col("count")))
+
+
+def added(a: Column, b: Column) -> Column:
+    """The sum of two clones: structs of pfm (functions.frequencies), count, orig_count and refpos -> such a struct with seq, qual, bases, mutations.
+
+    b is moved by the difference of the two anchors, refpos of a less that of b; counts add, and refpos
+    and orig_count are the larger ones. Anchors so far apart that there is a gap raise.
+    """
+    pfm = frequencies_of.added(a["pfm"], b["pfm"], a["refpos"] - b["refpos"])
+    numbers = [(a["count"] + b["count"]).alias("count"), F.greatest(a["orig_count"], b["orig_count"]).alias("orig_count"), F.greatest(a["refpos"], b["refpos"]).alias("refpos")]
+
+    def whole(x: Column) -> Column:
+        return frequencies_of.let(frequencies_of.called(x), lambda c: F.struct(x.alias("pfm"), *numbers, *[c[n].alias(n) for n in ("seq", "qual", "bases", "mutations")]))
+
+    return frequencies_of.let(pfm, whole)
+
+
 def totals(clones: DataFrame) -> DataFrame:
-    """Clones, sequences and bases of a set."""
-    return clones.agg(F.count("*").alias("clones"), F.sum("count").alias("sequences"), F.sum(F.col("count") * F.length("seq")).alias("bases"))
+    """Clones, sequences and bases of a set, and its mutations where the clones have any."""
+    made = [F.coalesce(F.sum("mutations"), F.lit(0)).alias("mutations")] if "mutations" in clones.columns else []
+    return clones.agg(F.count("*").alias("clones"), F.sum("count").alias("sequences"), F.sum(F.col("count") * F.length("seq")).alias("bases"), *made)
+
+
+def with_clone(clones: DataFrame, more: DataFrame, key: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """``clones`` and ``more`` as one set; a clone that both have, or that occurs twice, raises."""
+    both = clones.unionByName(more)
+    twice = both.groupBy(*key).agg(F.count("*").alias("times_"))
+    name = F.concat_ws(" ", *[F.col(k).cast("string") for k in key])
+    checked = F.when(F.col("times_") == 1, F.col(key[0])).otherwise(F.raise_error(F.concat(F.lit("clone is there already: "), name)))
+    return both.join(twice, list(key)).withColumn(key[0], checked).select(both.columns)
 
 
 def ranked(clones: DataFrame, column: str = "sequence_id") -> DataFrame:
