@@ -16,22 +16,27 @@ from vdjspark.runtime import stage, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon model, fitted on the labels outside the held-out fold, scores 0.7 or more go. Null and empty texts stay; an empty table gives none."""
     return toxicity.accepted(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each linked group stays, that of the least doc_id; of rows with equal doc_id and text one. Texts without words stay; a null doc_id stays unless linked with an id."""
     return jaccard.one_of_each(docs, n=5, num=80, den=100)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share a window with a benchmark item go. Null texts, and all texts where the benchmark is empty, stay."""
     return winnowing.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them, three times at most. A null source is a source of its own; null texts have no words and go or stay with their source's share."""
     return mixing.repeated(docs)
 
 
 def order_for_training(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences in their global slots, with doc_id; the only stage whose columns are its own. Null and empty texts are one sequence of end marks."""
     return training_order.materialise(docs)
 
 
