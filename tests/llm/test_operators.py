@@ -407,7 +407,7 @@ def test_features_come_from_stored_tensors(spark, monkeypatch):
     monkeypatch.setattr(media, "tensor_bytes", zeroed)
     frame = spark.createDataFrame([(1, "a few words")], "doc_id long, text string")
     captured = []
-    monkeypatch.setattr(type(frame), "mapInPandas", lambda self, work, schema: captured.append(work))
+    monkeypatch.setattr(media, "map_frames", lambda rows, work, schema: captured.append(work))
     media.encode(frame)
     (out,) = captured[0](iter([pd.DataFrame({"doc_id": [1], "text": [b"a few words"]})]))
     assert "bands=" + "|".join(["0.00"] * media.BANDS) in out["feature"][0].replace("-0.00", "0.00")
