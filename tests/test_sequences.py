@@ -443,3 +443,12 @@ def test_commands(spark, tmp_path):
     repertoire.main(["run", "--sam", str(tmp_path / "a.sam"), "--reference", str(tmp_path / "ref"), "--species", "Human", "--out", str(tmp_path / "run")])
     assert [r.duplicate_count for r in spark.read.csv(str(tmp_path / "run" / "results"), sep="\t", header=True).collect()] == ["4"]
     assert spark.read.csv(str(tmp_path / "run" / "Q_mm_stats"), header=True).count() == 84
+    pair = repertoire_pairs(spark, [("CCATTCGGCA", 1, 1, "I")]).head()
+    (tmp_path / "v.fq").write_text(f"@r\n{pair.v.SEQ}\n+\n{pair.v.QUAL}\n" * 4)
+    awk = "awk '{{ l[NR %% 4] = $0 }} NR %% 4 == 0 {{ n = length($0); print substr(l[1], 2) \"\\t0\\t{}\\t*\\t0\\t0\\t\" l[2] \"\\t\" $0 }}'"
+    v, j = awk.format('TRBV1*01\\t21\\t9\\t20M" n - 20 "S'), awk.format('TRBJ1*01\\t1\\t9\\t" n - 16 "S16M')
+    repertoire.main(["run", "--reads", str(tmp_path / "v.fq"), "--build", "cp %(ref_fn)s %(index_fn)s", "--align-v", v, "--align-j", j, "--reference", str(tmp_path / "ref"), "--species", "Human", "--out", str(tmp_path / "piped")])
+    same = [spark.read.csv(str(tmp_path / out / "results"), sep="\t", header=True) for out in ("run", "piped")]
+    assert same[0].count() == 1 and same[0].exceptAll(same[1]).count() == 0
+    with pytest.raises(SystemExit):
+        repertoire.main(["run", "--reference", str(tmp_path / "ref"), "--out", str(tmp_path / "none")])

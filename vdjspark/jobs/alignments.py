@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from vdjspark.functions import sequences as S
 from vdjspark.jobs import repertoire
 from vdjspark.jobs.registry import _AA, AS_BASES, LETTERS, READ, READS, _pairs_sql, query, reads
+from vdjspark.operators import aligners
 from vdjspark.operators import clones as K
 from vdjspark.operators import demultiplex as D
 from vdjspark.operators import error_rates as E
@@ -247,13 +248,30 @@ def gapped_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.alleles_from_fasta(v.unionByName(j)).select("name", "refpos", "seq")
 
 
-@query(READS + "SELECT 'd' || doc_id AS name, upper(substr(l, 1, 120)) AS seq FROM letters WHERE length(l) > 0")
+@query(READS + "SELECT 'd' || doc_id AS name, upper(l) AS seq FROM letters WHERE length(l) > 0")
 def fasta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents' first letters as FASTA records of two lines, scanned."""
+    """Documents' letters written as FASTA records in lines of 60, and read again by ranges."""
+    path = f"{shared_dir(spark)}/fasta-{uuid.uuid4().hex}"
     letters = spread(table(spark, sf_dir, "documents")).select("doc_id", F.regexp_replace(F.lower("text"), "[^a-z]", "").alias("l")).filter("length(l) > 0")
-    three = F.array(F.concat(F.lit(">d"), "doc_id"), F.substring("l", 1, 60), F.substring("l", 61, 60))
-    text = letters.select("doc_id", F.posexplode(three).alias("k", "value")).select((F.col("doc_id") * 3 + F.col("k")).alias("line"), "value")
-    return files.fasta_records(text).select("name", "seq")
+    files.write_fasta(letters.select(F.concat(F.lit("d"), "doc_id").alias("name"), F.regexp_replace("l", "(.{60})", "$1\n").alias("seq")), path)
+    return files.read_fasta(spark, path).select("name", "seq")
+
+
+#: Stands in for an aligner: reads the FASTA file, then FASTQ, and places each read at an allele that its length chooses.
+STUB_ALIGNER = """awk 'NR == FNR { if (/^>/) a[n++] = substr($0, 2); next } FNR %% 4 == 1 { name = substr($0, 2) } FNR %% 4 == 2 { s = $0 }
+FNR %% 4 == 0 { print name "\t0\t" a[length(s) %% n] "\t1\t50\t" length(s) "M\t*\t0\t0\t" s "\t" $0 }' %(ref_fn)s -"""
+
+
+@query(
+    READS
+    + """, v AS (SELECT list(name ORDER BY name) AS names FROM (SELECT 'TRBV' || n_nationkey || '*01' AS name FROM nation))
+SELECT ordinal || ':r' AS read, names[CAST(length(seq) % len(names) AS INT) + 1] AS allele, length(seq) || 'M' AS cigar, seq, qual_text FROM reads, v"""
+)
+def piped_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reads through an aligner command, one process for each partition."""
+    rows = reads(spark, sf_dir).select(F.col("ordinal").alias("uid"), F.lit("r").alias("id"), "seq", "qual_text")
+    sam = aligners.command_aligner(alleles(spark, sf_dir), "V", aligners.Command(STUB_ALIGNER))(rows)
+    return sam.select(F.col("QNAME").alias("read"), F.col("RNAME").alias("allele"), F.col("CIGAR").alias("cigar"), F.col("SEQ").alias("seq"), F.col("QUAL").alias("qual_text"))
 
 
 @query(READS + "SELECT CAST(ordinal AS VARCHAR) AS id, 'x y' AS desc, seq, qual_text, row_number() OVER (ORDER BY ordinal) - 1 AS number FROM reads")

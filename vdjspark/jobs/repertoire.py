@@ -1,12 +1,12 @@
 """From paired alignments to ranked, corrected clones: the whole run as one chain of tables.
 
-Aligners are external: a run takes SAM rows, or reads and two functions DataFrame -> DataFrame that align.
+Aligners are external: a run takes SAM rows, or reads and two aligners, which are commands (``aligners.command_aligner``)
+or any functions DataFrame -> DataFrame.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from vdjspark.functions import airr
 from vdjspark.functions import cigar as C
 from vdjspark.functions import sequences as S
+from vdjspark.operators import aligners as A
 from vdjspark.operators import clones as K
 from vdjspark.operators import demultiplex as D
 from vdjspark.operators import error_rates as E
@@ -23,9 +24,6 @@ from vdjspark.runtime import stage
 from vdjspark.sources import sequence_files as files
 from vdjspark.sources import tables
 
-#: Reads (uid, id, seq, qual_text) -> SAM rows, whose QNAME begins with ``uid:``.
-Aligner = Callable[[DataFrame], DataFrame]
-
 
 @dataclass(frozen=True)
 class Options:
@@ -37,7 +35,7 @@ class Options:
     collapse_vj: bool = True
 
 
-def aligned(reads: DataFrame, v_aligner: Aligner, j_aligner: Aligner) -> DataFrame:
+def aligned(reads: DataFrame, v_aligner: A.Aligner, j_aligner: A.Aligner) -> DataFrame:
     """Reads (ordinal, id, seq, qual_text) -> uid, v, j: what V leaves of a read goes to the J aligner, and both meet by uid."""
     v = stage(v_aligner(reads.select(F.col("ordinal").alias("uid"), "id", "seq", "qual_text")), "v-aligned")
     head = F.substring_index("QNAME", ":", 1)
@@ -125,7 +123,13 @@ def _run(spark: SparkSession, given: argparse.Namespace) -> None:
     alleles = tables.read_reference(spark, given.reference)
     wanted = {k: v for k, v in (("species", given.species), ("gene", given.gene)) if v}
     alleles = tables.choose_alleles(tables.require(alleles, **wanted), **wanted)
-    pairs = files.adjacent_pairs(files.read_sam(spark, given.sam))
+    if given.sam:
+        pairs = files.adjacent_pairs(files.read_sam(spark, given.sam))
+    else:
+        reads = files.read_fastq(spark, given.reads, encoding=None)
+        offset = given.phred or files.phred_offset(reads)
+        v, j = [A.command_aligner(alleles, region, A.Command(align, given.build, offset)) for region, align in (("V", given.align_v), ("J", given.align_j))]
+        pairs = stage(aligned(reads, v, j), "pairs")
     got = run(pairs, alleles, Options(confidence=given.confidence, collapse_vj=not given.no_vj_collapsing))
     tables.write_airr(got.kept, f"{given.out}/results")
     tables.write_airr(got.discarded, f"{given.out}/discarded")
@@ -158,7 +162,7 @@ def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Receptor clones from sequencing reads.")
     commands = parser.add_subparsers(required=True)
     for name, work, options in (
-        ("run", _run, {"--sam": "", "--reference": "", "--species": None, "--gene": None, "--confidence": 0.99, "--no-vj-collapsing": False}),
+        ("run", _run, {"--sam": None, "--reads": None, "--build": A.BUILD, "--align-v": A.ALIGN_V, "--align-j": A.ALIGN_J, "--phred": 0, "--reference": "", "--species": None, "--gene": None, "--confidence": 0.99, "--no-vj-collapsing": False}),
         ("checkout", _checkout, {"--forward": None, "--reverse": None, "--paired": None, "--barcodes": "", "--max-mm": 2, "--reverse-complement": False}),
         ("umi", _umi, {"--reads": "", "--k": 30, "--max-shift": 4, "--min-offset-score": 20, "--min-merge-score": 24}),
         ("convert", _convert, {"--clones": ""}),
@@ -170,8 +174,10 @@ def main(args: list[str] | None = None) -> None:
             if value is False:
                 one.add_argument(option, action="store_true")
             else:
-                one.add_argument(option, default=value or None, type=type(value) if value else str, required=value == "")
+                one.add_argument(option, default=value or None, type=str if value in (None, "") else type(value), required=value == "")
     given = parser.parse_args(args)
+    if given.work is _run and bool(given.sam) == bool(given.reads):
+        parser.error("run takes either --sam or --reads")
     given.work(SparkSession.builder.getOrCreate(), given)
 
 

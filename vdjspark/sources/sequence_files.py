@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vdjspark.functions import sequences as S
 from vdjspark.runtime import small, stage
+from vdjspark.sources.ranges import RANGE_BYTES, read_records
 
 # The mandatory columns of SAM.
 SAM_COLUMNS = ("QNAME", "FLAG", "RNAME", "POS", "MAPQ", "CIGAR", "RNEXT", "PNEXT", "TLEN", "SEQ", "QUAL")
@@ -45,10 +46,9 @@ def running_sum(df: DataFrame, cost: str, by: str, order: str, column: str = "sp
     return out.withColumn(column, F.col("before_") + F.col("here_")).drop("part_", "all_", "by_", "of_", "before_", "here_")
 
 
-def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines numbered by file name and place in the file."""
-    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path_"), F.col("_metadata.file_block_start").alias("block_"))
-    return numbered(text, "line", ("path_", "block_"))
+def lines(spark: SparkSession, path: str | list[str], size: int = RANGE_BYTES) -> DataFrame:
+    """Lines numbered by file name and place in the file; ``size`` is the bytes of a range, which a task reads."""
+    return read_records(spark, path, "line", "line", size)
 
 
 def fastq_records(text: DataFrame, encoding: str | None = "Illumina1.8") -> DataFrame:
@@ -58,14 +58,19 @@ def fastq_records(text: DataFrame, encoding: str | None = "Illumina1.8") -> Data
     """
     four = text.groupBy(F.expr("line div 4").alias("ordinal")).agg(*[F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(f"l{k}") for k in range(4)])
     good = F.col("l0").startswith("@") & F.col("l2").startswith("+") & F.col("l3").isNotNull() & (F.length("l1") == F.length("l3"))
-    head = F.split(F.substring("l0", 2, 1 << 20), " ", 2)
-    checked = F.when(good, F.get(head, 0)).otherwise(F.raise_error(F.format_string("record %d is no FASTQ record", "ordinal")))
-    out = four.select("ordinal", checked.alias("id"), F.coalesce(F.get(head, 1), F.lit("")).alias("desc"), F.col("l1").alias("seq"), F.col("l3").alias("qual_text"))
+    checked = F.when(good, F.substring("l0", 2, 1 << 20)).otherwise(F.raise_error(F.format_string("record %d is no FASTQ record", "ordinal")))
+    return _reads(four.select("ordinal", checked.alias("head"), F.col("l1").alias("seq"), F.col("l3").alias("qual_text")), encoding)
+
+
+def _reads(records: DataFrame, encoding: str | None) -> DataFrame:
+    head = F.split("head", " ", 2)
+    out = records.select("ordinal", F.get(head, 0).alias("id"), F.coalesce(F.get(head, 1), F.lit("")).alias("desc"), "seq", "qual_text")
     return out if encoding is None else out.withColumn("qual", S.zero_unknown(F.col("seq"), S.decode_quality(F.col("qual_text"), encoding)))
 
 
-def read_fastq(spark: SparkSession, path: str | list[str], encoding: str | None = "Illumina1.8") -> DataFrame:
-    return fastq_records(lines(spark, path), encoding)
+def read_fastq(spark: SparkSession, path: str | list[str], encoding: str | None = "Illumina1.8", size: int = RANGE_BYTES) -> DataFrame:
+    """Files -> ordinal, id, desc, seq, qual_text and, with an encoding, qual. A task reads the records that begin in its ``size`` bytes; a broken record raises."""
+    return _reads(read_records(spark, path, "fastq", size=size), encoding)
 
 
 def write_fastq(df: DataFrame, path: str, by: list[str] | None = None) -> None:
@@ -77,24 +82,9 @@ def write_fastq(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     (out.write.partitionBy(*by) if by else out.write).text(path)
 
 
-def fasta_records(text: DataFrame) -> DataFrame:
-    """Lines (line, value) -> ordinal (line of the header), name, seq: lines before the first header are comments.
-
-    A line belongs to the last header before it. Headers are counted by partition of 2^16 lines and the
-    counts summed, so the window that joins a record's lines stays within such a stretch.
-    """
-    marked = text.withColumn("head", F.col("value").startswith(">").cast("int")).withColumn("stretch", F.shiftright("line", 16))
-    sums = marked.groupBy("stretch").agg(F.sum("head").alias("n"))
-    before = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    record = F.col("before") + F.sum("head").over(Window.partitionBy("stretch").orderBy("line"))
-    rows = marked.join(before, "stretch").withColumn("record", record).filter("record > 0")
-    name = F.max(F.when(F.col("head") == 1, F.substring("value", 2, 1 << 20)))
-    parts = F.sort_array(F.collect_list(F.when(F.col("head") == 0, F.struct("line", "value"))))
-    return rows.groupBy("record").agg(F.min("line").alias("ordinal"), name.alias("name"), F.upper(F.array_join(F.transform(parts, lambda p: F.trim(p["value"])), "")).alias("seq")).drop("record")
-
-
-def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return fasta_records(lines(spark, path))
+def read_fasta(spark: SparkSession, path: str | list[str], size: int = RANGE_BYTES) -> DataFrame:
+    """Files -> ordinal, name, seq, by ranges of ``size`` bytes; a record is held whole by the task in whose range it begins."""
+    return read_records(spark, path, "fasta", size=size)
 
 
 def write_fasta(df: DataFrame, path: str) -> None:
@@ -102,10 +92,10 @@ def write_fasta(df: DataFrame, path: str) -> None:
 
 
 def sam_records(text: DataFrame) -> DataFrame:
-    """Lines -> ordinal and the mandatory columns; lines with fewer fields (headers) are left out."""
+    """Lines (value) -> the other columns, ``line`` as ordinal, and the mandatory ones; lines with fewer fields (headers) are left out."""
     fields = F.split("value", "\t")
     rows = text.filter(F.size(fields) >= len(SAM_COLUMNS))
-    return rows.select(F.col("line").alias("ordinal"), *[F.get(fields, i).cast("int" if c in SAM_INTEGERS else "string").alias(c) for i, c in enumerate(SAM_COLUMNS)])
+    return rows.select(*[F.col(c).alias("ordinal" if c == "line" else c) for c in text.columns if c != "value"], *[F.get(fields, i).cast("int" if c in SAM_INTEGERS else "string").alias(c) for i, c in enumerate(SAM_COLUMNS)])
 
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
