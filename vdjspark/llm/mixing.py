@@ -3,7 +3,8 @@
 Every document has a fixed hash. Per source, words are summed by hash bucket; the bucket in which the
 running sum passes the source's budget is the boundary. Only the boundary bucket is split again by the
 next bits of the hash, so after a few levels a source has one 30-bit threshold, and a filter on the hash
-picks its documents. Nothing is sorted, and a larger budget takes a superset of a smaller one.
+picks its documents. Only the rows whose hash is the threshold itself (one document, or copies of one row)
+are told apart by running sums, over ranges. A larger budget takes a superset of a smaller one.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vdjspark.runtime import small, stage
+from vdjspark.sources.sequence_files import running_sum
 
 LEVELS, BITS = 3, 10
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -34,8 +36,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
         F.sum("weight").over(everyone) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     )
     found = weighed.withColumn("level", level)
-    # the first source, in order of "at", which its level doesn't stop sets the level of all after it
-    found = found.withColumn("level", F.min(F.when(F.col("level") < F.col("at"), F.struct("at", "level"))).over(everyone)["level"])
+    # the first source, in order of "at", which its level doesn't stop sets the level of all after it; of equal "at" the first has the highest level
+    found = found.withColumn("level", -F.min(F.when(F.col("level") < F.col("at"), F.struct("at", (-F.col("level")).alias("down")))).over(everyone)["down"])
     return found.select("source", "source_size", F.least("stop", F.coalesce(F.col("level") * F.col("weight"), F.col("stop"))).alias("target"))
 
 
@@ -44,21 +46,27 @@ def _digits(hashed: Column, level: int) -> Column:
     return F.shiftright(hashed, (LEVELS - level) * BITS)
 
 
-def _hash(seed: int, row: str = "") -> Column:
-    """LEVELS * BITS bits of the MD5 of seed, doc_id and text, which SQL engines have too; nulls are left out."""
+def _draws(seed: int, row: str = "") -> tuple[Column, Column]:
+    """LEVELS * BITS bits of the MD5 of seed, doc_id and text, which SQL engines have too, and 32 more; nulls are left out."""
     whole = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(f"{row}doc_id").cast("string"), F.col(f"{row}text")).cast("binary"))
-    return F.shiftright(F.conv(F.substring(whole, 1, 8), 16, 10).cast("long"), 32 - LEVELS * BITS)
+    first, more = [F.conv(F.substring(whole, at, 8), 16, 10).cast("long") for at in (1, 9)]
+    return F.shiftright(first, 32 - LEVELS * BITS), more
+
+
+def _size(row: str = "") -> Column:
+    return F.coalesce(F.regexp_count(f"{row}text", F.lit(WORDS)), F.lit(0)).cast("long")
 
 
 def _sized(docs: DataFrame, seed: int) -> DataFrame:
-    size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
-    return stage(docs.select("doc_id", "source", _hash(seed).alias("hashed"), size.alias("size")), "mix")
+    hashed, more = _draws(seed)
+    return stage(docs.select("doc_id", "source", hashed.alias("hashed"), more.alias("more"), _size().alias("size"), F.monotonically_increasing_id().alias("copy")), "mix")
 
 
 def thresholds(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
-    """(source, hashed, size) -> one row per source: of (its name), source_size, target, whole, bound.
+    """(source, hashed, size) -> one row per source: of (its name), source_size, target, whole, bound, rest.
 
-    All documents of the source count ``whole`` times, and those whose hash begins below ``bound`` once more.
+    All documents of the source count ``whole`` times, those whose hash is below ``bound`` once more, and of those
+    whose hash is ``bound`` as many as come nearest to ``rest`` words; rest is null where none is at the bound.
     """
     goals = stage(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "mix-goals")
     goals = goals.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
@@ -81,12 +89,22 @@ def thresholds(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFra
             F.coalesce(F.col("cut.words"), F.lit(0)).alias("last"),
         )
         state = stage(state, "mix-level")
-    bound = F.col("bound") + F.when((F.col("last") > 0) & (F.col("left") * 2 >= F.col("last")), 1).otherwise(0)
-    return state.select(F.col("source").alias("of"), "source_size", "target", "whole", bound.alias("bound"))
+    rest = F.when((F.col("last") > 0) & (F.col("whole") < most), F.col("left"))
+    return state.select(F.col("source").alias("of"), "source_size", "target", "whole", "bound", rest.alias("rest"))
 
 
-def _reps(hashed: Column, most: int) -> Column:
-    return F.col("whole") + ((_digits(hashed, LEVELS) < F.col("bound")) & (F.col("whole") < most)).cast("int")
+def _with_reps(rows: DataFrame, most: int) -> DataFrame:
+    """Rows with hashed, more, copy, size and their source's thresholds -> the same with reps.
+
+    Rows at the bound are taken in the order of ``more``, then of ``copy``, which tells equal rows apart, while at least
+    half of the row fits. Their running sums are made over ranges of that order, so a group of copies is not one task.
+    """
+    at_bound = F.col("rest").isNotNull() & (F.col("hashed") == F.col("bound"))
+    known = rows.filter(~at_bound).withColumn("reps", F.col("whole") + ((F.col("hashed") < F.col("bound")) & (F.col("whole") < most)).cast("int"))
+    ordered = rows.filter(at_bound).withColumn("order_", F.struct("more", "copy"))
+    spent = running_sum(ordered, "size", "of", "order_").drop("order_")
+    fits = F.col("spent") * 2 - F.col("size") <= F.col("rest") * 2
+    return known.unionByName(spent.withColumn("reps", F.col("whole") + fits.cast("int")).drop("spent"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 7) -> DataFrame:
@@ -94,21 +112,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
 
     ``reps`` is how often the mix takes a document: the whole part of target / source_size for all of a
     source, and one more below the threshold. Null text: size 0. Null source: a source of its own.
-    The hash covers doc_id and text, so equal rows are taken alike and reruns agree; the words taken
-    miss the target by half of the last bucket (2^-30 of a source's documents, or one document) at most.
+    The hash covers doc_id and text, so reruns agree; of equal rows, which may differ in ``reps`` by one, as
+    many are taken as fit. The words taken miss the target by half of one document at most.
     A document never counts more than ``most`` times. An empty table gives an empty result.
     """
     sized = _sized(docs, seed)
     goal = small(thresholds(sized, weights, most))
-    found = sized.join(goal, F.col("source").eqNullSafe(F.col("of")))
-    return found.select("doc_id", "source", "size", "source_size", "target", _reps(F.col("hashed"), most).alias("reps"))
+    found = _with_reps(sized.join(goal, F.col("source").eqNullSafe(F.col("of"))), most)
+    return found.select("doc_id", "source", "size", "source_size", "target", "reps")
 
 
 def repeated(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 7) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as mix() takes it, with its own columns; texts aren't shuffled."""
-    goal = small(thresholds(_sized(docs, seed), weights, most).select("of", "whole", "bound"))
-    taken = docs.alias("t").join(goal.alias("g"), F.col("t.source").eqNullSafe(F.col("g.of")))
-    times = F.col("g.whole") + ((_digits(_hash(seed, "t."), LEVELS) < F.col("g.bound")) & (F.col("g.whole") < most)).cast("int")
+    """The mix itself: each row of ``docs`` as often as mix() takes it, with its own columns; only texts at a source's bound are shuffled."""
+    goal = small(thresholds(_sized(docs, seed), weights, most).select("of", "whole", "bound", "rest"))
+    joined = docs.alias("t").join(goal.alias("g"), F.col("t.source").eqNullSafe(F.col("g.of")))
+    hashed, more = _draws(seed, "t.")
+    rows = joined.select(F.struct("t.*").alias("row"), "g.*", hashed.alias("hashed"), more.alias("more"), F.monotonically_increasing_id().alias("copy"), _size("t.").alias("size"))
     # sequence(1, 0) would count down, so documents that aren't taken go first
-    taken = taken.select(F.struct("t.*").alias("row"), times.alias("times")).filter("times > 0")
-    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+    taken = _with_reps(rows, most).filter("reps > 0").select("row", "reps")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("reps")))).select("row.*")

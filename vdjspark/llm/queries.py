@@ -123,17 +123,19 @@ counts AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i,
 found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM w LEFT JOIN counts USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-_OP7 = rf"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_SPACED}')) AS size, CAST('0x' || substr(md5(concat_ws(':', '7', doc_id, text)), 1, 8) AS BIGINT) >> 2 AS h FROM documents),
+_OP7 = rf"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_SPACED}')) AS size, CAST('0x' || substr(md5(concat_ws(':', '7', doc_id, text)), 1, 8) AS BIGINT) >> 2 AS h,
+    CAST('0x' || substr(md5(concat_ws(':', '7', doc_id, text)), 9, 8) AS BIGINT) AS more FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(3 * sum(size) AS DOUBLE) AS stop, CAST((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS DOUBLE) AS weight FROM d GROUP BY source),
 levels AS (SELECT *, stop / weight AS full_at, (sum(source_size) OVER () - coalesce(sum(stop) OVER o, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS level
     FROM s WINDOW o AS (ORDER BY stop / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-goals AS (SELECT source, source_size, least(stop, coalesce((SELECT level FROM levels WHERE level < full_at ORDER BY full_at LIMIT 1) * weight, stop)) AS target FROM levels),
+goals AS (SELECT source, source_size, least(stop, coalesce((SELECT level FROM levels WHERE level < full_at ORDER BY full_at, level DESC LIMIT 1) * weight, stop)) AS target FROM levels),
 filled AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END AS whole FROM goals),
 hashes AS (SELECT source, h, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto FROM d GROUP BY source, h),
 cut AS (SELECT f.source, min(h) AS h, arg_min(words, h) AS words, arg_min(target - whole * source_size - (upto - words), h) AS rest
     FROM filled f JOIN hashes x ON f.source IS NOT DISTINCT FROM x.source AND upto > greatest(target - whole * source_size, 0) GROUP BY f.source),
-bounds AS (SELECT f.*, coalesce(h + CAST(2 * rest >= words AS INT), 1 << 30) AS bound FROM filled f LEFT JOIN cut c ON f.source IS NOT DISTINCT FROM c.source)
-SELECT doc_id, size, source_size, target, CAST(size * (whole + CAST(h < bound AND whole < 3 AS INT)) AS BIGINT) AS taken FROM d JOIN bounds b ON d.source IS NOT DISTINCT FROM b.source"""
+bounds AS (SELECT f.*, coalesce(h, 1 << 30) AS bound, rest FROM filled f LEFT JOIN cut c ON f.source IS NOT DISTINCT FROM c.source),
+placed AS (SELECT d.*, source_size, target, whole, bound, rest, sum(size) OVER (PARTITION BY d.source, h ORDER BY more ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS spent FROM d JOIN bounds b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CAST(whole < 3 AND (h < bound OR (h = bound AND 2 * spent - size <= 2 * rest)) AS INT)) AS BIGINT) AS taken FROM placed"""
 
 _H11 = ", ".join(f"CAST('0x' || substr(digest, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
 _OP11 = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
