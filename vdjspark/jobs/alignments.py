@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vdjspark.functions import sequences as S
 from vdjspark.jobs import repertoire
-from vdjspark.jobs.registry import _AA, AS_BASES, LETTERS, READ, READS, _pairs_sql, query, reads
+from vdjspark.jobs.registry import _AA, AS_BASES, LETTERS, READ, READS, _pairs_sql, query, reads, reads_of
 from vdjspark.operators import aligners
 from vdjspark.operators import clones as K
 from vdjspark.operators import demultiplex as D
@@ -278,8 +278,9 @@ def piped_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fastq_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads written as FASTQ in order, compressed by none, read again and numbered."""
     path = f"{shared_dir(spark)}/fastq-{uuid.uuid4().hex}"
-    rows = reads(spark, sf_dir).select("ordinal", F.col("ordinal").cast("string").alias("id"), F.lit("x y").alias("desc"), "seq", "qual_text")
-    files.write_fastq(rows.orderBy("ordinal").drop("ordinal"), path)
+    # documents are sorted, not their reads, which are more and longer
+    rows = reads_of(table(spark, sf_dir, "documents").orderBy("doc_id"))
+    files.write_fastq(rows.select(F.col("ordinal").cast("string").alias("id"), F.lit("x y").alias("desc"), "seq", "qual_text"), path)
     return files.read_fastq(spark, path, encoding=None).select("id", "desc", "seq", "qual_text", F.col("ordinal").alias("number"))
 
 

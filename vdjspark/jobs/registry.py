@@ -43,7 +43,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def reads(spark: SparkSession, sf_dir: str, bases: str = AS_BASES) -> DataFrame:
     """doc_id, source, tile, ordinal, seq, qual_text, qual"""
-    letters = spread(table(spark, sf_dir, "documents")).select("doc_id", "source", F.regexp_replace(F.lower("text"), "[^a-z]", "").alias("l")).filter("length(l) > 0")
+    return reads_of(spread(table(spark, sf_dir, "documents")), bases)
+
+
+def reads_of(docs: DataFrame, bases: str = AS_BASES) -> DataFrame:
+    """The reads of documents, in the order of the documents."""
+    letters = docs.select("doc_id", "source", F.regexp_replace(F.lower("text"), "[^a-z]", "").alias("l")).filter("length(l) > 0")
     tiles = letters.select("doc_id", "source", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.length("l") - 1) / READ).cast("int")), lambda i: F.substring("l", i * READ + 1, READ))).alias("tile", "t"))
     out = tiles.select("doc_id", "source", "tile", (F.col("doc_id") * 100_000 + F.col("tile")).alias("ordinal"), F.translate("t", LETTERS, bases).alias("seq"), F.translate("t", LETTERS, AS_QUALITY).alias("qual_text"))
     return out.withColumn("qual", S.decode_quality(F.col("qual_text")))
