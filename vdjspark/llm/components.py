@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by alternating stars; no edge leaves the executors."""
+"""Connected components of an edge table, by stars and pointer jumping; no edge leaves the executors."""
 
 from __future__ import annotations
 
@@ -8,43 +8,36 @@ from pyspark.sql import functions as F
 from vdjspark.runtime import drop_staged, small, stage
 
 
-def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """edges (a, b) with ``low``, the least b of each a; and the staged minima, to be deleted when that has been used.
+def _with_top(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """edges (a, b) with ``top``, the least b of the least b of each a; and the staged minima, to be deleted when that has been used.
 
     Minima are aggregated before the shuffle. They are broadcast if few; else they are joined, and a
     node with very many neighbours is split as a skewed join.
     """
-    least = stage(edges.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "u"), "least")
-    return edges.join(small(least), F.col("a") == F.col("u")).drop("u"), least
-
-
-def _stars(edges: DataFrame) -> bool:
-    """Whether no node hangs on two others, or both hangs and has others hang on it."""
-    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")), F.struct(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))).alias("e"))
-    seen = ends.select("e.*").groupBy("node").agg(F.sum("hangs").alias("hangs"), F.sum("holds").alias("holds"))
-    return not seen.filter("hangs > 1 or (hangs > 0 and holds > 0)").limit(1).count()
+    least = stage(edges.groupBy("a").agg(F.min("b").alias("low")), "least")
+    side = small(least)
+    found = edges.alias("e").join(side.alias("l"), F.col("e.a") == F.col("l.a")).join(side.alias("f"), F.col("l.low") == F.col("f.a"), "left")
+    return found.select("e.a", "e.b", F.coalesce("f.low", "l.low").alias("top")), least
 
 
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b: long) -> node, root: for every node of an edge, the least node it is connected with.
 
-    Each round hangs every node's larger neighbours, then its smaller ones, on the least; the edges
-    become stars around the least nodes in O(log^2) rounds. Each round is a written table. Nodes with
+    Each round hangs every node and its smaller neighbours on the least neighbour of its least
+    neighbour, which halves the way to the least node. It ends when every edge leads there already, so
+    that the edges are stars. A round is two written tables, the minima and the new edges. Nodes with
     edges to themselves only are their own root.
     """
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     now, first = edges.filter("a != b"), True
-    while not _stars(now):
-        # each node's larger neighbours go to the least of it and its neighbours
-        both, least = _with_least(now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-        large = both.filter("b > a").select(F.col("b").alias("a"), F.least("a", "low").alias("b")).distinct()
-        large = stage(large, "edges")
-        drop_staged(least)
-        # then each node and its smaller neighbours go to the least of them
-        lower, least = _with_least(large)
-        pairs = F.array(F.struct(F.col("a").alias("a"), F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))
-        after = stage(lower.select(F.explode(pairs).alias("e")).select("e.a", "e.b").filter("a != b").distinct(), "edges")
-        for done in (least, large, *([] if first else [now])):
+    while True:
+        topped, least = _with_top(now)
+        if not topped.filter("b != top").limit(1).count():
+            drop_staged(least)
+            break
+        pairs = F.array(F.struct("a", F.col("top").alias("b")), F.struct(F.col("b").alias("a"), F.col("top").alias("b")))
+        after = stage(topped.select(F.explode(pairs).alias("e")).select("e.a", "e.b").filter("a != b").distinct(), "edges")
+        for done in (least, *([] if first else [now])):
             drop_staged(done)
         now, first = after, False
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
