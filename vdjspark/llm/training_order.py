@@ -10,7 +10,6 @@ byte offset is arithmetic, and a reader resumes anywhere without an index.
 from __future__ import annotations
 
 import base64
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -30,42 +29,21 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 ROUNDS = 6
 PER_SHARD = 1 << 16
 
-_SPACES = re.compile(r"\s ")
 _encoders: dict[int, Encoder] = {}
 
 
 class Encoder:
-    """tiktoken with a bounded cache of pieces.
+    """tiktoken with this vocabulary. Texts are encoded whole: where many words are rare, looking pieces up in a cache takes longer."""
 
-    Where no white space precedes a space, text splits at spaces into pieces whose tokens don't depend
-    on each other, and pieces recur; other texts are encoded whole. Both give the same ids.
-    """
-
-    def __init__(self, vocabulary: bytes, cached: int = 300_000):
+    def __init__(self, vocabulary: bytes):
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
-        self.cache: dict[str, list[int]] = {}
-        self.cached = cached
 
     def __call__(self, text: str) -> list[int]:
-        if _SPACES.search(text):
-            return self.encoding.encode_ordinary(text)
-        first, *rest = text.split(" ")
-        out = self.encoding.encode_ordinary(first)
-        cache, encode = self.cache, self.encoding.encode_ordinary
-        for piece in rest:
-            ids = cache.get(piece)
-            if ids is None:
-                ids = encode(" " + piece)
-                if len(piece) <= 32:
-                    if len(cache) >= self.cached:
-                        cache.clear()
-                    cache[piece] = ids
-            out += ids
-        return out
+        return self.encoding.encode_ordinary(text)
 
 
 def encoder(vocabulary: bytes) -> Encoder:
