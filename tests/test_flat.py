@@ -83,7 +83,7 @@ def test_alignments_are_read_once(spark):
 
 
 def test_no_operation_is_placed_by_columns(spark):
-    for name in ("alignment_sums", "alignment_qualities"):
+    for name in ("alignment_sums", "alignment_qualities", "v_trimmed"):
         assert "regexp_extract_all" not in executed(registry.QUERIES[name](spark, SF))
 
 
