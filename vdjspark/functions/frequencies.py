@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vdjspark.functions import flat
+
 BASES = "ACGT"
 KINDS = len(BASES) + 1
 
@@ -80,3 +84,51 @@ def _called(x: Column) -> Column:
         F.aggregate(x["freq"], F.lit(0).cast("long"), lambda s, f: s + f).alias("bases"), F.aggregate(cells, F.lit(0).cast("long"), lambda s, c: s + c["wrong"]).alias("mutations"),
     )
     return let(F.transform(_positions(F.lit(0), n), cell), whole)
+
+
+_KINDS = np.full(256, len(BASES), np.int64)
+_KINDS[[ord(x) for x in BASES]] = range(len(BASES))
+
+
+def sums_of(seqs: list[pa.Array], quals: list[pa.Array], counts: list[pa.Array], offset: pa.Array) -> dict[str, pa.Array]:
+    """Pairs of reads (text of Phred+33) that were seen so often, the second moved right by ``offset``: what called(added()) and mismatch_quality() give of them.
+
+    seq, qual_text, mutations, hd, sum_q and max_q, for a whole Arrow batch at once. A gap between the two raises.
+    """
+    o = flat.numbers(offset)
+    codes, at = zip(*map(flat.letters, seqs), strict=True)
+    q = [flat.qualities(x, True)[0].astype(np.int64) - flat.ZERO for x in quals]
+    size = [np.diff(x) for x in at]
+    if ((o > size[0]) | (-o > size[1])).any():
+        raise ValueError("offset so large or small that there is a gap")
+    first, row = np.minimum(o, 0), [np.repeat(np.arange(len(o)), x) for x in size]
+    begin = flat.starts(np.maximum(size[0], size[1] + o) - first)
+    freq, best_q = np.zeros((begin[-1], KINDS), np.int64), np.zeros((begin[-1], KINDS), np.int64)
+    place = []
+    for i, moved in enumerate((np.zeros(len(o), np.int64), o)):
+        # a read has one base at a place, so nothing is added twice
+        place.append((begin[:-1] + moved - first)[row[i]] + np.arange(len(codes[i])) - at[i][:-1][row[i]])
+        kind = _KINDS[np.minimum(codes[i], 255)]
+        freq[place[i], kind] += flat.numbers(counts[i])[row[i]]
+        best_q[place[i], kind] = np.maximum(best_q[place[i], kind], q[i])
+    f, g = freq[:, : len(BASES)], best_q[:, : len(BASES)]
+    score = f * 256 + g
+    top = score.argmax(1)
+    most = np.take_along_axis(score, top[:, None], 1)
+    alone = (score == most).sum(1) == 1
+    base = np.where(alone, np.frombuffer(BASES.encode(), np.uint8)[top], ord("N"))
+    called_q = np.where(alone, most[:, 0] % 256, 0)
+    pair = np.repeat(np.arange(len(o)), np.diff(begin))
+    wrong = np.bincount(pair, f.sum(1) - most[:, 0] // 256, len(o)).astype(np.int64)
+    # where the first read has a base, and the second too
+    mine = np.full(begin[-1], -1)
+    mine[place[0]] = np.arange(len(place[0]))
+    other = mine[place[1]]
+    differs = (other >= 0) & (codes[0][np.maximum(other, 0)] != codes[1]) if len(place[0]) else np.zeros(len(other), bool)
+    at_b = row[1][differs]
+    least = np.minimum(q[0][other[differs]], q[1][differs])
+    max_q = np.zeros(len(o), np.int64)
+    np.maximum.at(max_q, at_b, least)
+    hd, sum_q = np.bincount(at_b, minlength=len(o)), np.bincount(at_b, least, len(o)).astype(np.int64)
+    numbers = {"mutations": (wrong, pa.int64()), "hd": (hd, pa.int32()), "sum_q": (sum_q, pa.int32()), "max_q": (max_q, pa.int32())}
+    return {"seq": flat.texts(base, begin), "qual_text": flat.texts(called_q + 33, begin)} | {c: pa.array(x, t) for c, (x, t) in numbers.items()}
